@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -49,13 +50,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
     return out
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete tables of written() that nothing will read again."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files whose frames are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files whose frames are no longer referenced; the second round meets what the first let go."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def partitions(spark: SparkSession) -> int:

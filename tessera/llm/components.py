@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, written
+from .common import forget, release, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,11 @@ def components(edges: DataFrame) -> DataFrame:
         after = lower.join(jump, "label").select("v", F.col("next").alias("label"), "was")
         after = written(after, "labels")
         changed = after.filter("label <> was").limit(1).count()
-        labels = after.select("v", "label")
-        release(spark)
+        forget(labels, lower)
+        labels = after
         if not changed:
-            return labels
+            forget(both)
+            release(spark)
+            return labels.select("v", "label")
+        labels = written(after.select("v", "label"), "labels")
+        forget(after)

@@ -13,8 +13,8 @@ Allocation by cost: a segment hash in more than HOT sets costs more than it
 finds, so it is skipped; a set that falls short without its skipped segments
 is indexed again at the next level, cut finer, where it has more segments than
 common ones. Sets still short at the last level consist mostly of common
-shingles; only among them are hot buckets searched. In each bucket all are
-first held against one centre; pairs are then formed only across components,
+shingles; only among them, and only for their rarest shingles, are hot buckets
+searched. In each bucket all are first held against one centre; pairs are then formed only across components,
 so groups of copies never expand. All candidates are verified on whole sets.
 """
 
@@ -24,11 +24,11 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel
-from .common import arrow_map, doc_text, named, partitions, release, written
+from .common import arrow_map, doc_text, forget, named, partitions, release, written
 from .components import components
 from .kernel import U64
 
@@ -200,7 +200,7 @@ def buckets(df: DataFrame, emit, last: bool, most: int = HOT) -> DataFrame:
     p = partitions(spark)
 
     def send(batch):
-        sender = Sender(4 * p, last, most)
+        sender = Sender(2 * p, last, most)
         yield from emit(batch, sender)
         yield from sender.flush()
 
@@ -244,6 +244,25 @@ def sets_of(column, size: int) -> Iterator:
         yield i, j, *kernel.shingle_sets(data, offsets, size)
 
 
+def parities(bounds: np.ndarray, s: np.ndarray) -> list[bytes]:
+    """Of each set, the parity of its elements in each of at least 4 n bits.
+
+    Two bitmaps differ in at most as many bits as the sets in elements, so
+    pairs that differ in more bits than similar sets may are left out safely.
+    """
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        bits = max(64, 1 << (4 * (b - a) - 1).bit_length())
+        out.append(np.packbits((np.bincount((s[a:b] & U64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def folded(bitmaps: list[bytes]) -> np.ndarray:
+    """The bitmaps at the length of the shortest, a row each: folding keeps parities."""
+    width = min(map(len, bitmaps)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(b, U64).reshape(-1, width), axis=0) for b in bitmaps])
+
+
 def index_level(level: int, percent: int, size: int, text_at: int, loss_at: int | None = None):
     """emit() of a level. From level 1 on, only of sets that fall short at the level before, of which the batch has the losses."""
 
@@ -299,12 +318,18 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Dat
     return arrow_map(rows, check, "a long, b long")
 
 
-def joins(rows: DataFrame, percent: int, cross: bool) -> DataFrame:
-    """Distinct pairs a < b in buckets: all against the least of a bucket, or all across labels. rows: sig, fp, tag, label."""
+def joins(rows: DataFrame, percent: int, how: str) -> DataFrame:
+    """Distinct pairs a < b in buckets. rows: sig, fp, tag, label.
+
+    star: all against the first by label; near: neighbours of different labels
+    in an order of chance, by a salt in the column "salt"; across: all pairs of
+    different labels.
+    """
     import pyarrow as pa
 
     p = partitions(rows.sparkSession)
-    rows = rows.select("sig", "fp", "tag", "label").repartition(p, "sig").sortWithinPartitions("sig", "fp")
+    order = {"star": ["label", "fp"], "near": [F.xxhash64("sig", "fp", "salt") if how == "near" else None, "fp"], "across": ["fp"]}[how]
+    rows = rows.repartition(p, "sig").sortWithinPartitions("sig", *order).select("sig", "fp", "tag", "label", *["bits"] * (how == "across"))
 
     def ok(a, b, n, m):
         keep = percent * np.maximum(n, m) <= 100 * np.minimum(n, m)
@@ -325,24 +350,41 @@ def joins(rows: DataFrame, percent: int, cross: bool) -> DataFrame:
             c_fp, c_n = np.where(head >= 0, fp[head], centre[1] if centre else 0), np.where(head >= 0, n[head], centre[2] if centre else 0)
             centre = (sig[-1], c_fp[-1], c_n[-1])
             rest = c_fp != fp
-            yield batch_of(*ok(c_fp[rest], fp[rest], c_n[rest], n[rest]))
+            a, b = ok(c_fp[rest], fp[rest], c_n[rest], n[rest])
+            yield batch_of(np.minimum(a, b), np.maximum(a, b))
+
+    def near(batches):
+        last = None
+        for batch in batches:
+            columns = [c.to_numpy() for c in batch.columns]
+            if last is not None:
+                columns = [np.concatenate([x, c]) for x, c in zip(last, columns, strict=True)]
+            sig, fp, n, label = columns
+            n = n.view(np.uint32).astype(np.int64) >> 2
+            i = np.flatnonzero((sig[1:] == sig[:-1]) & (label[1:] != label[:-1]))
+            a, b = ok(fp[i], fp[i + 1], n[i], n[i + 1])
+            yield batch_of(np.minimum(a, b), np.maximum(a, b))
+            last = [c[-1:] for c in columns]
 
     def across(batches):
         held: list = []
 
         def pairs():
-            label, fp, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            label, fp, n = (np.concatenate(x) for x in zip(*(h[:3] for h in held), strict=True))
             if (label == label[0]).all():
                 return
+            bits = folded([b for h in held for b in h[3]])
             for i in range(len(fp) - 1):
                 rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+                apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                rest = rest[apart * (100 + percent) <= (100 - percent) * (n[i] + n[rest])]
                 a, b = ok(np.full(len(rest), fp[i]), fp[rest], np.full(len(rest), n[i]), n[rest])
                 if len(a):
                     yield np.minimum(a, b), np.maximum(a, b)
 
         now, out = None, []
         for batch in batches:
-            sig, fp, n, label = (c.to_numpy() for c in batch.columns)
+            sig, fp, n, label = (c.to_numpy() for c in batch.columns[:4])
             n = n.view(np.uint32).astype(np.int64) >> 2
             first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             for i, j in zip(first, np.append(first[1:], len(sig)), strict=True):
@@ -350,7 +392,7 @@ def joins(rows: DataFrame, percent: int, cross: bool) -> DataFrame:
                     if held:
                         out += pairs()
                     now, held = sig[i], []
-                held.append((label[i:j], fp[i:j], n[i:j]))
+                held.append((label[i:j], fp[i:j], n[i:j], batch.column(4)[i:j].to_pylist()))
                 if sum(len(a) for a, _ in out) > 100_000:
                     yield batch_of(*(np.concatenate(x) for x in zip(*out, strict=True)))
                     out = []
@@ -359,7 +401,7 @@ def joins(rows: DataFrame, percent: int, cross: bool) -> DataFrame:
         if out:
             yield batch_of(*(np.concatenate(x) for x in zip(*out, strict=True)))
 
-    return rows.mapInArrow(across if cross else star, "a long, b long").distinct()
+    return rows.mapInArrow({"star": star, "near": near, "across": across}[how], "a long, b long").distinct()
 
 
 def jaccard_join(df: DataFrame, percent: int = 75, size: int = 5, hot_bucket: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -401,32 +443,43 @@ def jaccard_join(df: DataFrame, percent: int = 75, size: int = 5, hot_bucket: in
         for i, j, bounds, s in sets_of(batch.column(3), size):
             f1, f2 = fingerprints(bounds, s)
             keep = np.flatnonzero((signed(f1) == batch.column(1)[i:j].to_numpy()) & (signed(f2) == batch.column(2)[i:j].to_numpy()))
-            yield batch.column(1)[i:j].take(keep), batch.column(3)[i:j].take(keep)
+            bits = parities(bounds, s)
+            yield batch.column(1)[i:j].take(keep), batch.column(3)[i:j].take(keep), [bits[k] for k in keep]
 
-    texts = written(arrow_map(keyed, own, "fp long, text string"), "texts")
+    texts = written(arrow_map(keyed, own, "fp long, text string, bits binary"), "texts")
     release(spark)
-    rows = found.filter("not hot")
+    rows, tables = found.filter("not hot"), [found]
     short = classes.filter("short").select(F.col("f1").alias("fp")).distinct()
     chosen = texts.join(lost.join(short, "fp", "full"), "fp")
     for level in range(1, len(LEVELS)):
         chosen = written(chosen.select("fp", "text", *[F.coalesce(f"loss{k}", F.lit(0)).alias(f"loss{k}") for k in (0, 1)]), "short")
         found = buckets(chosen, index_level(level, percent, size, 1, loss_at=2), level == len(LEVELS) - 1, hot_bucket)
         rows = rows.union(found.filter("not hot"))
+        tables += [found, chosen]
         lost = found.filter("hot").groupBy("fp").agg(*losses())
         chosen = chosen.select("fp", "text").join(lost, "fp", "left")
-    left = dominated(chosen.filter("loss0 is not null"), percent, size)
-    hot = found.filter("hot").withColumn("upper", F.col("tag").bitwiseAND(2) > 0).join(left, ["fp", "upper"], "left_semi")
-    rows = written(rows.select("sig", "fp", "tag").union(hot.select("sig", "fp", "tag")), "rows")
-
-    links = written(verified(joins(rows.withColumn("label", F.col("fp")), percent, False), texts, percent, size), "links")
-    release(spark)
-    labels = components(links)
-    labelled = rows.join(labels.withColumnRenamed("v", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    more = written(verified(joins(labelled, percent, True), texts, percent, size), "links")
-    if more.limit(1).count():
-        labels = components(links.union(more))
+    left = written(dominated(chosen.filter("loss0 is not null"), percent, size), "left")
+    rows = written(rows.select("sig", "fp", "tag").union(prefixes(found, left, percent)), "rows")
+    forget(*tables)
     release(spark)
 
+    # the centre of a bucket is the set that shares most, so that edited copies meet what they were copied from
+    weight = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("weight"))
+    starred = rows.join(weight, "fp").withColumn("label", -F.col("weight"))
+    links = [written(verified(joins(starred, percent, "star"), texts, percent, size), "links")]
+    labels = components(links[0])
+    # large groups without such a centre grow together by chance pairs; what is left apart is searched in full
+    for salt, how in enumerate(("near", "near", "across")):
+        labelled = rows.join(labels.withColumnRenamed("v", "fp"), "fp", "left").select("sig", "fp", "tag", F.coalesce("label", "fp").alias("label"), F.lit(salt).alias("salt"))
+        if how == "across":
+            open_ = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
+            labelled = labelled.join(open_, "sig", "left_semi").join(texts.select("fp", "bits"), "fp")
+        links.append(written(verified(joins(labelled, percent, how), texts, percent, size), "links"))
+        release(spark)
+        if links[-1].limit(1).count():
+            labels = components(functools.reduce(DataFrame.union, links))
+    forget(rows, texts)
+
     by_class = classes.join(labels.withColumnRenamed("v", "f1"), "f1", "left").withColumn("label", F.coalesce("label", "f1"))
     lowest = by_class.groupBy("label").agg(F.min("low").alias("component_id"))
     by_class = by_class.join(lowest, "label").select("f1", "f2", "component_id")
@@ -440,6 +493,21 @@ def losses() -> list:
     return [F.sum(F.when(F.col("tag").bitwiseAND(2) == 2 * upper, worth).otherwise(0)).cast("long").alias(f"loss{upper}") for upper in (0, 1)]
 
 
+def prefixes(found: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """sig, fp, tag of the hot elements in the prefixes of these sets. found: buckets of single elements; left: fp, upper.
+
+    If the elements of two similar sets are put in one order, their first
+    (1 - t) * n + 1 elements have one in common; here the order is by how many
+    sets hold an element, so the prefixes are the rarest.
+    """
+    own = found.withColumn("upper", F.col("tag").bitwiseAND(2) > 0).join(left, ["fp", "upper"], "left_semi")
+    count = own.groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
+    by_set = Window.partitionBy("fp", "upper")
+    own = own.join(count, "sig").withColumns({"nth": F.row_number().over(by_set.orderBy("held", "sig")), "shared": F.count(F.lit(1)).over(by_set), "n": F.shiftright("tag", 2)})
+    prefix = F.floor(F.col("n") * (100 - percent) / 100) + 1
+    return own.filter(F.col("nth") + F.col("n") - F.col("shared") <= prefix).filter("hot").select("sig", "fp", "tag")
+
+
 def dominated(texts: DataFrame, percent: int, size: int) -> DataFrame:
     """fp, upper of the sets that are short at the last level too. texts: fp, text, loss0, loss1."""
     level = len(LEVELS) - 1
