@@ -34,3 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("v", "label")
         labels = written(after.select("v", "label"), "labels")
         forget(after)
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """v, label after further links; only the components that they join are gone through again. links: a, b."""
+    a, b = (labels.select(F.col("v").alias(k), F.col("label").alias(f"l{k}")) for k in "ab")
+    edges = links.join(a, "a", "left").join(b, "b", "left")
+    ends = edges.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+    lower = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()).withColumnRenamed("label", "low").withColumnRenamed("v", "label")
+    fresh = ends.select(F.col("a").alias("v")).union(ends.select("b")).distinct().join(labels, "v", "left_anti").withColumn("label", F.col("v"))
+    every = labels.select("v", "label").union(fresh).join(lower, "label", "left")
+    return written(every.select("v", F.coalesce("low", "label").alias("label")), "labels")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import kernel
 from .common import arrow_map, doc_text, forget, named, partitions, release, written
-from .components import components
+from .components import components, joined
 from .kernel import U64
 
 #: Parameters: the most sets in a bucket whose pairs are formed; how much finer than at level 0 a level cuts
@@ -189,7 +189,7 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def buckets(df: DataFrame, emit, last: bool, most: int = HOT) -> DataFrame:
-    """hot, sig, fp, tag of the signatures that two sets or more share.
+    """hot, sig, fp, tag, centre of the signatures that two sets or more share; the centre is the least set of the bucket.
 
     emit(batch, sender) yields a sender's output for the batch. A row with
     sig null is a hot signature of its set that was reduced before.
@@ -218,13 +218,14 @@ def buckets(df: DataFrame, emit, last: bool, most: int = HOT) -> DataFrame:
             count = np.diff(np.append(first, len(sig)))
             marked = np.maximum.reduceat(tag == MARK, first)
             hot, keep = np.repeat((count > most) | marked, count), np.repeat((count > 1) | marked, count) & (tag != MARK)
-            yield hot[keep], signed(sig[keep]), signed(fp[keep]), tag[keep].view(np.int32)
+            # marks have the set 0, so the centre of a marked bucket is none; nothing asks for it
+            yield hot[keep], signed(sig[keep]), signed(fp[keep]), tag[keep].view(np.int32), signed(np.repeat(fp[first], count)[keep])
         for blob in (b for lost, b in held if lost):
             _, fp, tag = gathered([blob])
-            yield np.ones(len(fp), bool), pa.nulls(len(fp), pa.int64()), signed(fp), tag.view(np.int32)
+            yield np.ones(len(fp), bool), pa.nulls(len(fp), pa.int64()), signed(fp), tag.view(np.int32), signed(fp)
 
     def reduce(batches):
-        names = ["hot", "sig", "fp", "tag"]
+        names = ["hot", "sig", "fp", "tag", "centre"]
         now, held = None, []
         for batch in batches:
             for part, lost, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -236,7 +237,7 @@ def buckets(df: DataFrame, emit, last: bool, most: int = HOT) -> DataFrame:
         for x in reduced(held):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in x], names)
 
-    return written(sent.mapInArrow(reduce, "hot boolean, sig long, fp long, tag int"), "buckets")
+    return written(sent.mapInArrow(reduce, "hot boolean, sig long, fp long, tag int, centre long"), "buckets")
 
 
 def sets_of(column, size: int) -> Iterator:
@@ -245,14 +246,14 @@ def sets_of(column, size: int) -> Iterator:
 
 
 def parities(bounds: np.ndarray, s: np.ndarray) -> list[bytes]:
-    """Of each set, the parity of its elements in each of at least 4 n bits.
+    """Of each set, the parity of its elements in each of at least 2 n bits.
 
     Two bitmaps differ in at most as many bits as the sets in elements, so
     pairs that differ in more bits than similar sets may are left out safely.
     """
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        bits = max(64, 1 << (4 * (b - a) - 1).bit_length())
+        bits = max(64, 1 << (2 * (b - a) - 1).bit_length())
         out.append(np.packbits((np.bincount((s[a:b] & U64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes())
     return out
 
@@ -321,15 +322,15 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Dat
 def joins(rows: DataFrame, percent: int, how: str) -> DataFrame:
     """Distinct pairs a < b in buckets. rows: sig, fp, tag, label.
 
-    star: all against the first by label; near: neighbours of different labels
-    in an order of chance, by a salt in the column "salt"; across: all pairs of
-    different labels.
+    near: neighbours of different labels in an order of chance, by a salt in
+    the column "salt"; across: all pairs of different labels whose parities,
+    in the column "bits", do not rule them out.
     """
     import pyarrow as pa
 
     p = partitions(rows.sparkSession)
-    order = {"star": ["label", "fp"], "near": [F.xxhash64("sig", "fp", "salt") if how == "near" else None, "fp"], "across": ["fp"]}[how]
-    rows = rows.repartition(p, "sig").sortWithinPartitions("sig", *order).select("sig", "fp", "tag", "label", *["bits"] * (how == "across"))
+    order = [F.xxhash64("sig", "fp", "salt")] if how == "near" else []
+    rows = rows.repartition(p, "sig").sortWithinPartitions("sig", *order, "fp").select("sig", "fp", "tag", "label", *["bits"] * (how == "across"))
 
     def ok(a, b, n, m):
         keep = percent * np.maximum(n, m) <= 100 * np.minimum(n, m)
@@ -339,20 +340,6 @@ def joins(rows: DataFrame, percent: int, how: str) -> DataFrame:
         ab = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
 
-    def star(batches):
-        centre = None
-        for batch in batches:
-            sig, fp, n = (c.to_numpy() for c in batch.columns[:3])
-            n = n.view(np.uint32).astype(np.int64) >> 2
-            new = np.concatenate([[centre is None or centre[0] != sig[0]], sig[1:] != sig[:-1]])
-            head = np.where(new, np.arange(len(sig)), -1)
-            head = np.maximum.accumulate(head)
-            c_fp, c_n = np.where(head >= 0, fp[head], centre[1] if centre else 0), np.where(head >= 0, n[head], centre[2] if centre else 0)
-            centre = (sig[-1], c_fp[-1], c_n[-1])
-            rest = c_fp != fp
-            a, b = ok(c_fp[rest], fp[rest], c_n[rest], n[rest])
-            yield batch_of(np.minimum(a, b), np.maximum(a, b))
-
     def near(batches):
         last = None
         for batch in batches:
@@ -401,7 +388,7 @@ def joins(rows: DataFrame, percent: int, how: str) -> DataFrame:
         if out:
             yield batch_of(*(np.concatenate(x) for x in zip(*out, strict=True)))
 
-    return rows.mapInArrow({"star": star, "near": near, "across": across}[how], "a long, b long").distinct()
+    return rows.mapInArrow({"near": near, "across": across}[how], "a long, b long").distinct()
 
 
 def jaccard_join(df: DataFrame, percent: int = 75, size: int = 5, hot_bucket: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -459,26 +446,46 @@ def jaccard_join(df: DataFrame, percent: int = 75, size: int = 5, hot_bucket: in
         lost = found.filter("hot").groupBy("fp").agg(*losses())
         chosen = chosen.select("fp", "text").join(lost, "fp", "left")
     left = written(dominated(chosen.filter("loss0 is not null"), percent, size), "left")
-    rows = written(rows.select("sig", "fp", "tag").union(prefixes(found, left, percent)), "rows")
+    hot = written(prefixes(found, left, percent), "hot")
+    rows = written(rows.select("sig", "fp", "tag", "centre"), "rows")
     forget(*tables)
+
+    # each set of a bucket against its centre
+    sizes = rows.select("fp", F.shiftright("tag", 2).alias("n")).distinct()
+    stars = rows.filter("fp <> centre").select(F.col("centre").alias("a"), F.col("fp").alias("b"), F.shiftright("tag", 2).alias("n")).distinct()
+    ratio = percent * F.greatest("n", "m") <= 100 * F.least("n", "m")
+    stars = stars.join(sizes.select(F.col("fp").alias("a"), F.col("n").alias("m")), "a").filter(ratio).select("a", "b")
+    stars = written(stars, "stars")
     release(spark)
+    labels = components(written(verified(stars, texts, percent, size), "links"))
+    own = labels.withColumnRenamed("v", "fp")
 
-    # the centre of a bucket is the set that shares most, so that edited copies meet what they were copied from
-    weight = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("weight"))
-    starred = rows.join(weight, "fp").withColumn("label", -F.col("weight"))
-    links = [written(verified(joins(starred, percent, "star"), texts, percent, size), "links")]
-    labels = components(links[0])
-    # large groups without such a centre grow together by chance pairs; what is left apart is searched in full
-    for salt, how in enumerate(("near", "near", "across")):
-        labelled = rows.join(labels.withColumnRenamed("v", "fp"), "fp", "left").select("sig", "fp", "tag", F.coalesce("label", "fp").alias("label"), F.lit(salt).alias("salt"))
-        if how == "across":
-            open_ = labelled.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
-            labelled = labelled.join(open_, "sig", "left_semi").join(texts.select("fp", "bits"), "fp")
-        links.append(written(verified(joins(labelled, percent, how), texts, percent, size), "links"))
+    def labelled(x: DataFrame) -> DataFrame:
+        return x.join(own, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+    # large groups of common elements grow together by chance pairs
+    for salt in (1, 2):
+        pairs = written(joins(labelled(hot).withColumn("salt", F.lit(salt)), percent, "near"), "pairs")
+        links = written(verified(pairs, texts, percent, size), "links")
         release(spark)
-        if links[-1].limit(1).count():
-            labels = components(functools.reduce(DataFrame.union, links))
-    forget(rows, texts)
+        if links.limit(1).count():
+            labels = joined(labels, links)
+            own = labels.withColumnRenamed("v", "fp")
+    # what is apart is searched in full: buckets in which some set and the centre are not of one component
+    ends = stars.join(own.select(F.col("fp").alias("a"), F.col("label").alias("la")), "a", "left").join(own.select(F.col("fp").alias("b"), F.col("label").alias("lb")), "b", "left")
+    apart = ends.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select(F.col("a").alias("centre"), F.col("b").alias("fp"))
+    # a set too far in size from the centre may still match others of the bucket
+    unlike = rows.filter("fp <> centre").select("centre", "fp").distinct().join(stars.select(F.col("a").alias("centre"), F.col("b").alias("fp")), ["centre", "fp"], "left_anti")
+    opened = rows.join(apart.union(unlike), ["centre", "fp"], "left_semi").select("sig").distinct()
+    opened = written(rows.join(opened, "sig", "left_semi").select("sig", "fp", "tag").union(hot), "open")
+    release(spark)
+    pairs = written(joins(labelled(opened).join(texts.select("fp", "bits"), "fp"), percent, "across"), "pairs")
+    release(spark)
+    links = written(verified(pairs, texts, percent, size), "links")
+    if links.limit(1).count():
+        labels = joined(labels, links)
+    forget(rows, texts, hot, opened)
+    release(spark)
 
     by_class = classes.join(labels.withColumnRenamed("v", "f1"), "f1", "left").withColumn("label", F.coalesce("label", "f1"))
     lowest = by_class.groupBy("label").agg(F.min("low").alias("component_id"))
