@@ -10,6 +10,7 @@ the one longest document).
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -226,53 +227,71 @@ class Pieces:
     ids() and counts() give what the library gives for whole texts without
     added begin or end tokens. Strings of special tokens inside a text are
     special tokens, as is the library's default. The memory of known
-    pre-tokens is emptied beyond `keep` entries; that only costs time.
+    pre-tokens is emptied beyond `keep` entries; that only costs time. With
+    with_ids=False only numbers of pieces are kept, for counts() alone.
     """
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, with_ids: bool = True, keep: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.lib, self.keep = Tokenizer.from_file(path), keep
+        self.lib, self.with_ids, self.keep = Tokenizer.from_file(path), with_ids, keep
         self.special = {t.content.encode(): i for i, t in self.lib.get_added_tokens_decoder().items()}
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.pool, self.first, self.length, self.used = np.zeros(1 << 16, np.uint32), [], [], 0
+        self.keys, self.entry = np.zeros(0, U64), np.zeros(0, np.int64)  # hashes of the known pre-tokens in order, and their entries
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The new entries of ids, whose lengths are given."""
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        n = len(self.first)
+        self.first = np.concatenate([self.first, self.used + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.used += len(ids)
+        return np.arange(n, n + len(lengths))
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        for key, e in zip(keys.tolist(), self.lib.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = e.ids
-            if self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.known[key] = len(self.first)
-            self.first.append(self.used)
-            self.length.append(len(ids))
-            self.used += len(ids)
+        """keys: in order and not known."""
+        encoded = self.lib.encode_batch_fast(texts, add_special_tokens=False)
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        ids = np.zeros(0, np.uint32)
+        if self.with_ids:
+            ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in encoded), np.uint32, int(lengths.sum()))
+        entry = self._add(lengths, ids)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.entry = np.insert(self.keys, at, keys), np.insert(self.entry, at, entry)
 
     def _codes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Document and entry of each pre-token of a chunk."""
         import pandas as pd
 
         starts = pre_tokens(data, offsets)
+        if not len(starts):
+            return starts, starts
         ends = np.append(starts[1:], len(data))
         code, distinct = pd.factorize(span_hashes(prefix_hashes(data), starts, ends))
-        if len(self.known) + len(distinct) > self.keep:
+        if len(self.first) + len(distinct) > self.keep:
             self.clear()
-        known = self.known
-        entry = [known.get(k, -1) for k in distinct.tolist()]
-        if -1 in entry:
+        at = np.searchsorted(self.keys, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != distinct[inside]
+        if new.any():
             where = np.zeros(len(distinct), np.int64)
             where[code[::-1]] = np.arange(len(code))[::-1]
-            new = np.flatnonzero(np.array(entry) < 0)
-            raw = data.tobytes()
-            self._learn(distinct[new], [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in where[new]])
-            entry = [known[k] for k in distinct.tolist()]
-        return np.searchsorted(offsets, starts, "right") - 1, np.array(entry, np.int64)[code] if len(code) else np.zeros(0, np.int64)
+            fresh = np.flatnonzero(new)
+            fresh = fresh[np.argsort(distinct[fresh])]
+            raw, some = data.tobytes(), where[fresh]
+            self._learn(distinct[fresh], [raw[i:j].decode("utf-8", "replace") for i, j in zip(starts[some].tolist(), ends[some].tolist(), strict=True)])
+            at = np.searchsorted(self.keys, distinct)
+        return np.searchsorted(offsets, starts, "right") - 1, self.entry[at][code]
 
     def _parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
         """Offsets of the parts between special strings, the document of each part, and the specials (part before, id)."""
@@ -299,7 +318,7 @@ class Pieces:
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         bounds, doc, special = self._parts(data, offsets)
         part, entry = self._codes(data, bounds)
-        length = np.array(self.length, np.int64)[entry] if len(entry) else np.zeros(0, np.int64)
+        length = self.length[entry]
         for p, _ in special:
             length[part == p] = 0
         per_part = np.bincount(part, length, len(doc)) if len(part) else np.zeros(len(doc))
@@ -316,24 +335,16 @@ class Pieces:
             keep = ~np.isin(part, list(inside))
             part, entry = part[keep], entry[keep]
             where = np.searchsorted(part, list(inside))
-            extra = []
-            for i in inside.values():
-                extra.append(len(self.first))
-                if self.used + 1 > len(self.pool):
-                    self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
-                self.pool[self.used] = i
-                self.first.append(self.used)
-                self.length.append(1)
-                self.used += 1
+            extra = self._add(np.ones(len(inside), np.int64), np.array(list(inside.values()), np.uint32))
             part, entry = np.insert(part, where, list(inside)), np.insert(entry, where, extra)
         if not len(entry):
             return np.zeros(len(offsets), np.int64), np.zeros(0, np.uint32)
-        length, first = np.array(self.length, np.int64)[entry], np.array(self.first, np.int64)[entry]
+        length, first = self.length[entry], self.first[entry]
         done = np.cumsum(length)
         ids = self.pool[np.repeat(first - (done - length), length) + np.arange(done[-1])]
         return np.concatenate([[0], np.cumsum(row_sums(doc[part], len(offsets) - 1, length))]), ids
 
 
 @functools.lru_cache(2)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
+def pieces(path: str, with_ids: bool = True) -> Pieces:
+    return Pieces(path, with_ids)

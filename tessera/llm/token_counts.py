@@ -51,7 +51,7 @@ def token_counts(df: DataFrame, path: str, limit: int = 512, id_col: str = "doc_
 
     def count(batch):
         if fast:
-            own = kernel.pieces(path)
+            own = kernel.pieces(path, False)
             n = [own.counts(data, offsets) for _, _, offsets, data in kernel.chunks(batch.column(1))]
         else:
             n = [_library_counts(path, [t or "" for t in batch.column(1).to_pylist()])]
