@@ -189,10 +189,13 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def buckets(df: DataFrame, emit, last: bool, most: int = HOT) -> DataFrame:
-    """hot, sig, fp, tag, centre of the signatures that two sets or more share; the centre is the least set of the bucket.
+    """hot, sig, kin, fp, tag, centre of the signatures that two sets or more share; the centre is the least set of the bucket.
 
     emit(batch, sender) yields a sender's output for the batch. A row with
-    sig null is a hot signature of its set that was reduced before.
+    sig null is a hot signature of its set that was reduced before. kin is a
+    hash of the sets in the bucket: similar texts share many buckets of the
+    same sets, of which one is enough, so unless this is the last level a task
+    keeps one bucket of each kin that isn't hot.
     """
     import pyarrow as pa
 
@@ -217,15 +220,22 @@ def buckets(df: DataFrame, emit, last: bool, most: int = HOT) -> DataFrame:
             first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             count = np.diff(np.append(first, len(sig)))
             marked = np.maximum.reduceat(tag == MARK, first)
-            hot, keep = np.repeat((count > most) | marked, count), np.repeat((count > 1) | marked, count) & (tag != MARK)
+            large = (count > most) | marked
+            kin = kernel.mix(np.add.reduceat(kernel.mix(fp + U64(7)), first) + count.astype(U64))
+            one = (count > 1) | marked
+            if not last:
+                one &= large
+                rest = np.flatnonzero((count > 1) & ~large)
+                one[rest[np.unique(kin[rest], return_index=True)[1]]] = True
+            hot, keep = np.repeat(large, count), np.repeat(one, count) & (tag != MARK)
             # marks have the set 0, so the centre of a marked bucket is none; nothing asks for it
-            yield hot[keep], signed(sig[keep]), signed(fp[keep]), tag[keep].view(np.int32), signed(np.repeat(fp[first], count)[keep])
+            yield hot[keep], signed(sig[keep]), signed(np.repeat(kin, count)[keep]), signed(fp[keep]), tag[keep].view(np.int32), signed(np.repeat(fp[first], count)[keep])
         for blob in (b for lost, b in held if lost):
             _, fp, tag = gathered([blob])
-            yield np.ones(len(fp), bool), pa.nulls(len(fp), pa.int64()), signed(fp), tag.view(np.int32), signed(fp)
+            yield np.ones(len(fp), bool), pa.nulls(len(fp), pa.int64()), pa.nulls(len(fp), pa.int64()), signed(fp), tag.view(np.int32), signed(fp)
 
     def reduce(batches):
-        names = ["hot", "sig", "fp", "tag", "centre"]
+        names = ["hot", "sig", "kin", "fp", "tag", "centre"]
         now, held = None, []
         for batch in batches:
             for part, lost, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -237,7 +247,7 @@ def buckets(df: DataFrame, emit, last: bool, most: int = HOT) -> DataFrame:
         for x in reduced(held):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in x], names)
 
-    return written(sent.mapInArrow(reduce, "hot boolean, sig long, fp long, tag int, centre long"), "buckets")
+    return written(sent.mapInArrow(reduce, "hot boolean, sig long, kin long, fp long, tag int, centre long"), "buckets")
 
 
 def sets_of(column, size: int) -> Iterator:
@@ -447,7 +457,8 @@ def jaccard_join(df: DataFrame, percent: int = 75, size: int = 5, hot_bucket: in
         chosen = chosen.select("fp", "text").join(lost, "fp", "left")
     left = written(dominated(chosen.filter("loss0 is not null"), percent, size), "left")
     hot = written(prefixes(found, left, percent), "hot")
-    rows = written(rows.select("sig", "fp", "tag", "centre"), "rows")
+    # buckets of the same sets once; of the tag, only the size counts from here on
+    rows = written(rows.select(F.col("kin").alias("sig"), "fp", F.col("tag").bitwiseAND(-4).alias("tag"), "centre").distinct(), "rows")
     forget(*tables)
 
     # each set of a bucket against its centre
@@ -477,7 +488,8 @@ def jaccard_join(df: DataFrame, percent: int = 75, size: int = 5, hot_bucket: in
     # a set too far in size from the centre may still match others of the bucket
     unlike = rows.filter("fp <> centre").select("centre", "fp").distinct().join(stars.select(F.col("a").alias("centre"), F.col("b").alias("fp")), ["centre", "fp"], "left_anti")
     opened = rows.join(apart.union(unlike), ["centre", "fp"], "left_semi").select("sig").distinct()
-    opened = written(rows.join(opened, "sig", "left_semi").select("sig", "fp", "tag").union(hot), "open")
+    # every set was held against the centre above, so the pairs left are of the others
+    opened = written(rows.filter("fp <> centre").join(opened, "sig", "left_semi").select("sig", "fp", "tag").union(hot), "open")
     release(spark)
     pairs = written(joins(labelled(opened).join(texts.select("fp", "bits"), "fp"), percent, "across"), "pairs")
     release(spark)
