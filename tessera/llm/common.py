@@ -54,9 +54,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As written(), in a bucket for each shuffle partition: joins on the key do not shuffle these rows again."""
+    spark = df.sparkSession
+    path, table, p = work_dir(spark, name), f"tessera_{name}_{uuid.uuid4().hex}", partitions(spark)
+    df.repartition(p, key).write.bucketBy(p, key).option("path", path).format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    out._written_to, out._table = path, table
+    return out
+
+
 def forget(*frames: DataFrame) -> None:
-    """Delete tables of written() that nothing will read again."""
+    """Delete tables of written() or bucketed() that nothing will read again."""
     for df in frames:
+        if hasattr(df, "_table"):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._table}")
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path(df._written_to)
         path.getFileSystem(conf).delete(path, True)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel
-from .common import arrow_map, doc_text, forget, named, partitions, release, written
+from .common import arrow_map, bucketed, doc_text, forget, named, partitions, release, written
 from .components import components, joined
 from .kernel import U64
 
@@ -302,8 +302,37 @@ def index_level(level: int, percent: int, size: int, text_at: int, loss_at: int
     return emit
 
 
+def differing(x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of each pair of bitmaps, from words x[i[k]:i[k + 1]] and y[j[k]:j[k + 1]], the bits that differ at the length of the shorter."""
+    out = np.zeros(len(i) - 1, np.int64)
+    a, b = np.diff(i), np.diff(j)
+    for m, n in set(zip(a.tolist(), b.tolist(), strict=True)):
+        own, w = np.flatnonzero((a == m) & (b == n)), min(m, n)
+        step = max(1, (1 << 20) // (m + n))
+        for k in range(0, len(own), step):
+            part = own[k : k + step]
+            left, right = (np.bitwise_xor.reduce(z[at[part][:, None] + np.arange(size)].reshape(len(part), -1, w), axis=1) for z, at, size in ((x, i, m), (y, j, n)))
+            out[part] = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def likely(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """a, b of the pairs whose parities do not rule them out; far fewer bytes move than with the texts."""
+    left, right = (texts.select(F.col("fp").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in "ab")
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def check(batch):
+        (i, x), (j, y) = (kernel.utf8(batch.column(k)) for k in (4, 5))
+        apart = differing(x.view(U64), i // 8, y.view(U64), j // 8)
+        keep = np.flatnonzero(apart * (100 + percent) <= (100 - percent) * (batch.column(2).to_numpy() + batch.column(3).to_numpy()))
+        yield batch.column(0).take(keep), batch.column(1).take(keep)
+
+    return arrow_map(rows, check, "a long, b long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """a, b of the pairs whose sets have percent or more in common, from their whole texts."""
+    pairs = written(likely(pairs, texts, percent), "likely")
     left = texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
@@ -441,9 +470,9 @@ def jaccard_join(df: DataFrame, percent: int = 75, size: int = 5, hot_bucket: in
             f1, f2 = fingerprints(bounds, s)
             keep = np.flatnonzero((signed(f1) == batch.column(1)[i:j].to_numpy()) & (signed(f2) == batch.column(2)[i:j].to_numpy()))
             bits = parities(bounds, s)
-            yield batch.column(1)[i:j].take(keep), batch.column(3)[i:j].take(keep), [bits[k] for k in keep]
+            yield batch.column(1)[i:j].take(keep), batch.column(3)[i:j].take(keep), [bits[k] for k in keep], np.diff(bounds)[keep]
 
-    texts = written(arrow_map(keyed, own, "fp long, text string, bits binary"), "texts")
+    texts = bucketed(arrow_map(keyed, own, "fp long, text string, bits binary, n long"), "fp", "texts")
     release(spark)
     rows, tables = found.filter("not hot"), [found]
     short = classes.filter("short").select(F.col("f1").alias("fp")).distinct()
