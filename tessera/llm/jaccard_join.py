@@ -35,6 +35,8 @@ from .kernel import U64
 #: Parameters: the most sets in a bucket whose pairs are formed; how much finer than at level 0 a level cuts
 #: (None: every element is a segment of its own, of which no set has too few).
 HOT, LEVELS = 32, (1, 2, None)
+#: Orders of chance in which large buckets are gone through.
+ORDERS = 4
 #: Signatures that a task holds before it sends them on.
 FLUSH = 1_500_000
 MARK = np.uint32(0xFFFFFFFF)
@@ -362,13 +364,14 @@ def joins(rows: DataFrame, percent: int, how: str) -> DataFrame:
     """Distinct pairs a < b in buckets. rows: sig, fp, tag, label.
 
     near: neighbours of different labels in an order of chance, by a salt in
-    the column "salt"; across: all pairs of different labels whose parities,
+    the column "salt" and one of ORDERS for each signature, so that buckets of
+    the same sets give the same pairs; across: all pairs of different labels whose parities,
     in the column "bits", do not rule them out.
     """
     import pyarrow as pa
 
     p = partitions(rows.sparkSession)
-    order = [F.xxhash64("sig", "fp", "salt")] if how == "near" else []
+    order = [F.xxhash64(F.pmod("sig", F.lit(ORDERS)), "fp", "salt")] if how == "near" else []
     rows = rows.repartition(p, "sig").sortWithinPartitions("sig", *order, "fp").select("sig", "fp", "tag", "label", *["bits"] * (how == "across"))
 
     def ok(a, b, n, m):
