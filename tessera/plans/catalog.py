@@ -12,6 +12,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tessera.functions import cosine, exact_avg, exact_sum, half_up, money, weekday
 from tessera.operators import asof_join, interval_join, range_join, salted_join, sessions, top_per_group
@@ -284,7 +285,7 @@ def udf_grouped_map(spark, base):
     return part.groupBy("l_returnflag").agg(F.sum("n").alias("n"), F.round(F.sum("q"), 2).alias("q"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def scale(x: pd.Series) -> pd.Series:
     return x * 1.5
 
