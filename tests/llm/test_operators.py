@@ -184,6 +184,22 @@ def test_packing(docs):
     assert packing.packed(empty(docs), tokenizer()).count() == 0
 
 
+def test_packing_pads_least_beyond_4096_lengths(spark):
+    """All distinct lengths count, however many they are and however long the longest is."""
+    lengths, counts = np.append(np.arange(1, 5001), 1_000_000), np.append(1 + np.arange(5000) % 7, 1)
+    df = spark.createDataFrame([(int(x), int(c)) for x, c in zip(lengths, counts, strict=True)], "n_tokens long, c int")
+    df = df.selectExpr("n_tokens", "explode(sequence(1, c)) AS doc_id")
+    rows = packing.length_buckets(df, buckets=5).groupBy("bucket_len").agg({"n_tokens": "max", "*": "count"}).collect()
+    assert all(r["bucket_len"] == r["max(n_tokens)"] for r in rows)
+    padded = sum(r["bucket_len"] * r["count(1)"] for r in rows)
+    # the quadratic programme
+    n = np.concatenate([[0], np.cumsum(counts)])
+    best = lengths * n[1:]
+    for _ in range(4):
+        best = np.array([min(best[j], (best[:j] + lengths[j] * (n[j + 1] - n[1 : j + 1])).min(initial=best[j])) for j in range(len(n) - 1)])
+    assert padded == best[-1]
+
+
 def encoded():
     from tokenizers import Tokenizer
 
