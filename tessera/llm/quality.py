@@ -1,9 +1,10 @@
 """Quality rules: base counts, then distribution divergence from references of each language.
 
 The references are the character-class and common-word histograms of each
-language over all documents. A document is held against its language's by
-Jensen-Shannon distance (base 2, so from 0 to 1); short documents, and
-languages with little text, are not judged.
+language over all documents, each smoothed towards those of all languages, so
+that a language with little text has a reference too. A document is held
+against its language's, without its own part in it, by Jensen-Shannon distance
+(base 2, so from 0 to 1); only short documents are not judged.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "white", "stop", "symbol", "other ASCII", "wide")
 BASE_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Parameters: a word is common if it makes up this share of its language's words, so there are at most 1 / COMMON;
-#: a language is judged if it holds this share of all words and so many of them.
-COMMON, LANGUAGE_SHARE, LANGUAGE_WORDS = 1 / 500, 1 / 1000, 20_000
+#: all languages count in a language's reference like so many words of it, and alone for all but the largest LANGUAGES.
+COMMON, LANGUAGE_WORDS, LANGUAGES = 1 / 500, 20_000, 1000
+LETTERS = [CLASSES.index(k) for k in ("lower", "upper")]
+WIDE = CLASSES.index("wide")
 
 
 @functools.lru_cache(1)
@@ -83,12 +86,13 @@ def _merged(batch: pa.RecordBatch, column: int):
         yield i, j, features(offsets, data)
 
 
-def references(df: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each judged language: class shares, hashes of its common words, and their shares and the share of the rest.
+def references(df: DataFrame) -> dict[str | None, tuple[np.ndarray, ...]]:
+    """Of each of the largest languages, and as None for all others: class counts, those of all languages as they count
+    here, hashes of the common words, and their counts and those of the rest, own and of all languages.
 
     df: lang, text. Each Arrow batch is reduced to a row for each language and
     distinct word before the shuffle. What comes to the driver is at most
-    1 / LANGUAGE_SHARE languages with 1 / COMMON words each.
+    LANGUAGES languages with 2 / COMMON words each.
     """
 
     def count(batch):
@@ -108,18 +112,43 @@ def references(df: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndar
     sums = written(rows.groupBy("lang", "word", "key").agg(F.sum("n").alias("n")), "histograms")
     totals = sums.filter("word").groupBy("lang").agg(F.sum("n").alias("total"))
     every = totals.agg(F.sum("total")).first()[0] or 0
-    judged = F.broadcast(totals.filter(F.col("total") >= max(LANGUAGE_WORDS, every * LANGUAGE_SHARE)))
+    if not every:
+        return {None: (np.zeros(len(CLASSES)), np.ones(len(CLASSES)), np.zeros(0, U64), np.zeros(1), np.ones(1))}
+    largest = F.broadcast(totals.orderBy(F.desc("total"), "lang").limit(LANGUAGES))
+    own = sums.join(largest, "lang")
+    is_common = F.col("word") & (F.col("n") >= F.col("total") * COMMON)
+    keys = F.broadcast(own.filter(is_common).select("key").distinct().withColumn("own", F.lit(True)))
+    in_all = sums.filter("word").groupBy("key").agg(F.sum("n").alias("n")).join(keys, "key", "left")
+    in_all = {r["key"]: r["n"] / every for r in in_all.filter(F.col("own") | (F.col("n") >= every * COMMON)).collect()}
+    pooled = [k for k, share in in_all.items() if share >= COMMON]
+    all_classes = np.zeros(len(CLASSES))
+    for r in sums.filter(~F.col("word")).groupBy("key").agg(F.sum("n").alias("n")).collect():
+        all_classes[r["key"]] = r["n"]
+    all_classes *= LANGUAGE_WORDS / every
+    by: dict[str | None, tuple[np.ndarray, dict[int, int], int]] = {None: (np.zeros(len(CLASSES)), {}, 0)}
+    for r in own.filter(~F.col("word") | is_common | F.col("key").isin(pooled)).collect():
+        classes, words, _ = by.setdefault(r["lang"], (np.zeros(len(CLASSES)), {}, r["total"]))
+        if r["word"]:
+            words[r["key"]] = r["n"]
+        else:
+            classes[r["key"]] = r["n"]
     out = {}
-    got = sums.join(judged, "lang").filter(~F.col("word") | (F.col("n") >= F.col("total") * COMMON)).collect()
-    for lang in {r["lang"] for r in got}:
-        own = sorted((r["key"], r["n"], r["word"], r["total"]) for r in got if r["lang"] == lang)
-        classes = np.zeros(len(CLASSES))
-        for key, n, word, _ in own:
-            if not word:
-                classes[key] = n
-        common = sorted((np.array([key], np.int64).view(U64)[0], n) for key, n, word, _ in own if word)
-        share = np.array([n for _, n in common], float) / own[0][3]
-        out[lang] = classes / classes.sum(), np.array([k for k, _ in common], U64), np.append(share, max(0.0, 1 - share.sum()))
+    for lang, (classes, words, total) in by.items():
+        some = [(np.array([k], np.int64).view(U64)[0], words.get(k, 0), LANGUAGE_WORDS * in_all[k]) for k in {*words, *pooled}]
+        some = sorted(x for x in some if x[1] + x[2] >= COMMON * (total + LANGUAGE_WORDS))
+        n, prior = np.array([x[1] for x in some], float), np.array([x[2] for x in some], float)
+        out[lang] = classes, all_classes, np.array([x[0] for x in some], U64), np.append(n, total - n.sum()), np.append(prior, max(0.0, LANGUAGE_WORDS - prior.sum()))
+    return out
+
+
+def in_script(prior: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The class counts of all languages for each row of c, its letters wide or not in the row's own ratio."""
+    letters, narrow = prior[[*LETTERS, WIDE]].sum(), prior[LETTERS].sum()
+    all_own = c[:, [*LETTERS, WIDE]].sum(axis=1)
+    wide = np.divide(c[:, WIDE], all_own, out=np.full(len(c), prior[WIDE] / max(letters, 1e-9)), where=all_own > 0)
+    out = np.tile(prior, (len(c), 1))
+    out[:, WIDE] = letters * wide
+    out[:, LETTERS] = (letters * (1 - wide))[:, None] * (prior[LETTERS] / narrow if narrow else np.full(2, 0.5))
     return out
 
 
@@ -138,7 +167,7 @@ def quality(df: DataFrame, min_words: int = 50, guard: int = 50, most_class: flo
     base_failed: fewer than min_words words, or more than half of the words in
     repeated three-word windows. Others are kept unless they have at least
     `guard` words and lie further than most_class or most_words from their
-    language's references; distances are null where nothing is judged. A null
+    language's references; distances are null below that. A null
     text has no words and fails. A null language is a language of its own.
     Repeated rows stay repeated; an empty table gives an empty table. Other
     columns are not read; with carry, df's columns come first, in place of
@@ -158,8 +187,10 @@ def quality(df: DataFrame, min_words: int = 50, guard: int = 50, most_class: flo
         for i, j, f in _merged(batch, n_front):
             n = j - i
             distance = np.full((2, n), np.nan)
-            for lang, (classes, words, share) in known.items():
-                own = np.flatnonzero((langs[i:j] == lang) & (f["n_words"] >= guard))
+            names = np.array([x if x in known else None for x in langs[i:j]], object)
+            for lang in set(names):
+                classes, all_classes, words, count, all_count = known[lang]
+                own = np.flatnonzero((names == lang) & (f["n_words"] >= guard))
                 if not len(own):
                     continue
                 at = np.searchsorted(words, f["hash"])
@@ -171,8 +202,9 @@ def quality(df: DataFrame, min_words: int = 50, guard: int = 50, most_class: flo
                 mine = place[f["doc"]] >= 0
                 hist = np.bincount(place[f["doc"][mine]] * width + at[mine], minlength=len(own) * width).reshape(len(own), -1)
                 c = f["classes"][own]
-                distance[0, own] = js_distance(c / c.sum(axis=1, keepdims=True), classes)
-                distance[1, own] = js_distance(hist / hist.sum(axis=1, keepdims=True), share)
+                # without the document's own part in the counts; it has none in None's
+                for k, (mine, others) in enumerate(((c, np.maximum(0, classes - c) + in_script(all_classes, c)), (hist, np.maximum(0, count - hist) + all_count))):
+                    distance[k, own] = js_distance(mine / mine.sum(axis=1, keepdims=True), others / others.sum(axis=1, keepdims=True))
             yield [*[batch.column(k)[i:j] for k in range(n_front)], *[f[k] for k in BASE_COUNTS], *[pa.array(d, mask=np.isnan(d)) for d in distance]]
 
     schema = T.StructType(front.schema.fields + [T.StructField(k, T.LongType()) for k in BASE_COUNTS] + [T.StructField(k, T.DoubleType()) for k in added[5:7]])

@@ -154,6 +154,26 @@ def test_quality(docs):
     assert quality.keep_good(docs).columns == docs.columns
 
 
+def test_quality_judges_small_languages(spark):
+    """Every document over the guard has a verdict: junk goes and prose stays, whatever the language and its size."""
+    r = np.random.default_rng(5)
+    stop, rest = ["the", "of", "and", "to", "in", "is"], ["".join(r.choice(list("abcdefghilmnoprstu"), 6)) for _ in range(3000)]
+
+    def prose(n):
+        return " ".join(str(r.choice(stop)) if r.random() < 0.3 else str(r.choice(rest)) for _ in range(n)) + "."
+
+    def junk(n):
+        return " ".join(f"{x}{'#$%&*<>'[k % 7] * 6}" for k, x in enumerate(r.choice(rest, n)))
+
+    cyrillic = str.maketrans("abcdefghilmnoprstu", "абцдефгхилмнопрсту")
+    rows = [(i, prose(300), "en") for i in range(100)]
+    rows += [(100 + i, junk(300), lang) for i, lang in enumerate(["zz", None, "yy", "yy", "yy", "En"])]
+    rows += [(200, prose(300), "EN"), (201, prose(300), None), (202, prose(300).translate(cyrillic), "ru"), (203, junk(300).translate(cyrillic), "ru")]
+    got = {x.doc_id: x for x in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(x.class_distance is not None and x.word_distance is not None and not x.base_failed for x in got.values())
+    assert {i for i, x in got.items() if not x.kept} == {*range(100, 106), 203}
+
+
 def test_js_distance():
     p = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0]])
     assert np.allclose(quality.js_distance(p, np.array([0.5, 0.5, 0.0])), [0, 1])
