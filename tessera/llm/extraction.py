@@ -38,8 +38,11 @@ LIKELY = re.compile(r"(?<![a-z])(article|body|content|entry|main|page|post|story
 UNLIKELY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MIN_BLOCK, SIBLING_SHARE, SIBLING_DENSITY = 25, 0.2, 0.25
 
-TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+#: A quote opens a value only right after the equals sign of an attribute, as in browsers; elsewhere it is an ordinary character.
+VALUE = r"=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?"
+NAME = r"(?:=[^\s=>/]*+|[^\s=>/]++)"
+TOKEN = re.compile(rf"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{NAME}(?:\s*+{VALUE})?)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(rf"({NAME})(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>\"'][^\s>]*+))?)?")
 SPACE = re.compile(r"\s+")
 
 
@@ -53,7 +56,7 @@ class Node:
     def marks(self) -> tuple[str, str, bool]:
         if not self.attrs:
             return "", "", False
-        a = {k.lower(): x or y or z for k, x, y, z in ATTRIBUTE.findall(self.attrs)}
+        a = {k.lower(): x or y or z for k, x, y, z in reversed(ATTRIBUTE.findall(self.attrs))}
         style = a.get("style", "").replace(" ", "").lower()
         hidden = "display:none" in style or "visibility:hidden" in style or a.get("aria-hidden", "").lower() == "true" or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", self.attrs, re.I))
         return f"{a.get('class', '')} {a.get('id', '')}".lower(), a.get("role", "").lower(), hidden

@@ -80,6 +80,15 @@ def test_extraction(spark):
     assert extraction.extract(rows.filter("1 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("tag", ['<p class="a"">', "<p title=it's>", '<p "a>', "<p it's a=1>", '<p a==">', '<p a="x > y" b>', "<p a = 'x > \"y'>", '<p a="b"c="d>e">', "<p a=>", '<p = ="x>y">', "<p a=/x'/>"])
+def test_extraction_reads_quotes_as_browsers(tag):
+    assert extraction.main_text(f'<article>{tag}Hello world, one.</p><p class="b">More text two.</p><p>It\'s three</p></article>') == "Hello world, one. More text two. It's three"
+
+
+def test_extraction_keeps_first_of_attributes_with_stray_quotes():
+    assert extraction.Node("p", None, ' "x class="a"" CLASS=b id=it\'s hidden role').marks() == ("a it's", "", True)
+
+
 @pytest.mark.parametrize("hot", [32, 2])
 def test_jaccard(spark, hot):
     base = [f"t{i}" for i in range(60)]
