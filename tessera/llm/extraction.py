@@ -9,6 +9,7 @@ that score well or read like paragraphs.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 
@@ -32,11 +33,14 @@ CLOSES_SAME = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in
 #: Parameters: elements and words of class, id or role that mark what is not the article, and those that mark it.
 DROPPED = frozenset("script style noscript template iframe object embed svg canvas audio video nav footer aside form button select textarea input head title menu dialog noembed noframes xmp".split())
 UNLIKELY = re.compile(
-    r"(?<![a-z])(ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|breadcrumb\w*|comment|comments|commentlist|reply|replies|disqus|cookie\w*|consent|notice|notices|alert|disclaimer|footer|foot|header|masthead|menu|nav|navbar|navigation|pagination|pager|popup|modal|overlay|related|recommend\w*|share|sharing|social|sidebar|side|subscribe\w*|newsletter|signup|login|widget|toolbar|skip|search)(?![a-z])"
+    r"ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|breadcrumb\w*|comment|comments|commentlist|reply|replies|disqus|cookie\w*|consent|notice|notices|alert|disclaimer|footer|foot|header|masthead|menu|nav|navbar|navigation|pagination|pager|popup|modal|overlay|related|recommend\w*|share|sharing|social|sidebar|side|subscribe\w*|newsletter|signup|login|widget|toolbar|skip|search"
 )
+#: Words that a name may hold besides and still mean the same: a site-header is one, what has-sidebar is not.
+PLACES = frozenset("site global page post article entry main top bottom left right primary secondary first last box bar list links link item items block section area container wrapper wrap inner text button buttons icons form".split())
+COMMENTS = frozenset("comment comments commentlist reply replies disqus".split())
 LIKELY = re.compile(r"(?<![a-z])(article|body|content|entry|main|page|post|story|text)(?![a-z])")
 UNLIKELY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-MIN_BLOCK, SIBLING_SHARE, SIBLING_DENSITY = 25, 0.2, 0.25
+MIN_BLOCK, SIBLING_SHARE, SIBLING_DENSITY, ARTICLE_SHARE = 25, 0.2, 0.25, 0.25
 
 #: A quote opens a value only right after the equals sign of an attribute, as in browsers; elsewhere it is an ordinary character.
 VALUE = r"=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?"
@@ -44,6 +48,7 @@ NAME = r"(?:=[^\s=>/]*+|[^\s=>/]++)"
 TOKEN = re.compile(rf"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{NAME}(?:\s*+{VALUE})?)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(rf"({NAME})(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>\"'][^\s>]*+))?)?")
 SPACE = re.compile(r"\s+")
+NOT_LETTERS = re.compile(r"[^a-z]+")
 
 
 class Node:
@@ -131,29 +136,86 @@ def parse(page: str) -> Node:
         node = child
 
 
-def unlikely(node: Node, inside: bool) -> bool:
-    """Whether to leave out the node; inside: it lies in an article, where a header is part of it."""
+def gone(node: Node, inside: bool) -> bool:
+    """Whether the node is left out for its element, role or being hidden; inside: it lies in an article, where a header is part of it."""
     if node.tag in DROPPED:
         return True
-    names, role, hidden = node.marks()
-    if hidden or role in UNLIKELY_ROLES:
-        return True
-    if node.tag in ("article", "main", "body", "p"):
-        return False
-    if node.tag == "header":
-        return not inside
-    if node.tag in BLOCKS or node.tag in ("span", "a", "ins"):
-        return bool(names) and bool(UNLIKELY.search(names)) and not (inside and node.tag in ("h1", "h2", "h3"))
-    return False
+    _, role, hidden = node.marks()
+    return hidden or role in UNLIKELY_ROLES or node.tag == "header" and not inside
+
+
+@functools.lru_cache(10_000)
+def unlikely_parts(names: str) -> frozenset[str]:
+    """The words of class and id names that mark what is not the article; none if a whole name is one of the article's."""
+    out = set()
+    for name in names.split():
+        if LIKELY.fullmatch(name):
+            return frozenset()
+        parts = [x for x in NOT_LETTERS.split(name) if len(x) > 1]
+        bad = {x for x in parts if UNLIKELY.fullmatch(x)}
+        if all(x in bad or x in PLACES for x in parts):
+            out |= bad
+    return frozenset(out)
+
+
+def unlikely(node: Node, inside: bool) -> frozenset[str]:
+    """What in the names of the node speaks for leaving it out."""
+    if not node.attrs or node.tag in ("article", "main", "body", "p", "header") or node.tag not in BLOCKS and node.tag not in ("span", "a", "ins") or inside and node.tag in ("h1", "h2", "h3"):
+        return frozenset()
+    return unlikely_parts(node.marks()[0])
+
+
+def holds(root: Node) -> dict[int, float]:
+    """Of nodes by id, their share of the points for length and commas of the page's blocks without their links; of
+    those in articles and mains only, if these have a fair part. What is left out by any means and comments have none."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        inside = inside or node.tag in ("article", "main")
+        order.append((node, inside))
+        stack += [(x, inside) for x in node.items if not isinstance(x, str) and not gone(x, inside) and not unlikely(x, inside) & COMMENTS]
+    own: dict[int, tuple[int, int]] = {}
+    points: dict[int, tuple[float, float]] = {}
+    for node, inside in reversed(order):
+        n = commas = 0
+        whole = within = 0.0
+        for x in node.items:
+            if isinstance(x, str):
+                n += len("".join(x.split()))
+                commas += x.count(",")
+            elif id(x) in own:
+                whole, within = whole + points[id(x)][0], within + points[id(x)][1]
+                if x.tag not in BLOCKS and x.tag != "a":
+                    n += own[id(x)][0]
+                    commas += own[id(x)][1]
+        if node.tag in BLOCKS and n:
+            more = (1 + commas) * (n >= MIN_BLOCK) + min(3, n / 100)
+            whole, within = whole + more, within + more * inside
+        own[id(node)], points[id(node)] = (n, commas), (whole, within)
+    whole, within = points[id(root)]
+    k = int(within > ARTICLE_SHARE * whole)
+    return {i: x[k] / (whole, within)[k] for i, x in points.items() if x[k]}
 
 
 def prune(root: Node) -> None:
+    """Take out what is not the article by element, role or name; a name does not count where most of the page's text is."""
+    share = None
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.tag in ("article", "main")
-        node.items = [x for x in node.items if isinstance(x, str) or not unlikely(x, inside)]
-        stack += [(x, inside) for x in node.items if not isinstance(x, str)]
+        items = []
+        for x in node.items:
+            if not isinstance(x, str):
+                if gone(x, inside):
+                    continue
+                if unlikely(x, inside):
+                    share = holds(root) if share is None else share
+                    if share.get(id(x), 0.0) <= 0.5:
+                        continue
+                stack.append((x, inside))
+            items.append(x)
+        node.items = items
 
 
 def score(root: Node) -> list[Node]:

@@ -89,6 +89,36 @@ def test_extraction_keeps_first_of_attributes_with_stray_quotes():
     assert extraction.Node("p", None, ' "x class="a"" CLASS=b id=it\'s hidden role').marks() == ("a it's", "", True)
 
 
+STORY = "".join(f"<p>Paragraph {k} of the story, with enough words, commas, and sense to count as text.</p>" for k in range(4))
+STORY_TEXT = " ".join(re.findall("<p>(.*?)</p>", STORY))
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['<div class="content has-sidebar">', '<div id="page" class="no-sidebar">', '<div class="sidebar">', '<div class="search">', '<div class="header-fixed side-by-side">', '<div class="menu"><article>', '<div class="widget"><main class="share">', '<section class="sidebar-left"><div class="notice">'],
+)
+def test_extraction_keeps_text_in_wrappers(wrapper):
+    aside = '<div class="sidebar"><p>Other things, not of the story, in a column beside it.</p></div><div class="related"><article><p>Another story, which is short, and only a card.</p></article></div>'
+    assert extraction.main_text(f"<body>{wrapper}{STORY}</div></body>") == STORY_TEXT
+    assert extraction.main_text(f"<body>{wrapper}<article>{STORY}{aside}</article></body>") == STORY_TEXT
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-header", "cookie-banner", "comments", "ad-728x90", "main_nav", "share"])
+def test_extraction_drops_by_name(name):
+    assert extraction.main_text(f'<body><div>{STORY}<div class="{name}"><p>Not a part of the story, whatever it says, and dropped.</p></div></div></body>') == STORY_TEXT
+
+
+def test_extraction_keeps_short_article_and_drops_cards():
+    assert extraction.main_text('<body><div class="search"><article><p>One.</p></article></div></body>') == "One."
+    cards = '<div class="related"><article><p>Another story, which is short, and only a card.</p></article></div>'
+    assert extraction.main_text(f"<body><div>{STORY}{cards}</div></body>") == STORY_TEXT
+
+
+def test_extraction_drops_long_comments():
+    comments = f'<div id="comments"><div class="comment">{STORY * 5}</div></div>'
+    assert extraction.main_text(f"<body><div>{STORY}{comments}</div></body>") == STORY_TEXT
+
+
 @pytest.mark.parametrize("hot", [32, 2])
 def test_jaccard(spark, hot):
     base = [f"t{i}" for i in range(60)]
