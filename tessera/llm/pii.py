@@ -27,12 +27,14 @@ BASE = {
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
 }
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-#: Generators: kind, pattern.
+#: Between the labels of a spelled-out domain, of which the last has two characters at least.
+DOT = r"(?: ?(?i:\.|\(dot\)|\[dot\]|\{dot\}) ?)"
+#: Generators: kind, pattern. Keys and the parts of addresses have no greatest length; the trees see the length.
 CANDIDATES = {
     "number": r"(?<![0-9A-Za-z.+-])\(?[0-9][0-9 ()./-]{6,22}[0-9](?![0-9A-Za-z])",
-    "address": r"(?<![A-Za-z0-9])[A-Za-z0-9._%+-]{2,40}+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{2,40}+(?:(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?)[A-Za-z0-9-]{2,20}+){1,4}",
+    "address": rf"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?i:\(at\)|\[at\]|\{{at\}}) ?[A-Za-z0-9-]++(?:{DOT}(?:[A-Za-z0-9-]{{2,}}+|[A-Za-z0-9-](?={DOT}[A-Za-z0-9-]))){{1,126}}",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "key": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,200}(?![A-Za-z0-9_-])",
+    "key": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
 }
 KINDS = (*BASE, *CANDIDATES)
 #: Parameters: examples, trees, depth, rate, seed, characters of context, and the precision that the threshold must reach.
@@ -51,7 +53,7 @@ FEATURES = {
     "identity_form": r"^[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}$",
     "date_form": r"^(?:[0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:[0-9]{2}|[0-9]{4})|(?:1[0-9]|20)[0-9]{2}[/.-][0-9]{1,2}[/.-][0-9]{1,2})(?: .*)?$",
     "years": r"^(?:1[5-9]|20)[0-9]{2} ?[-/] ?(?:1[5-9]|20)[0-9]{2}$",
-    "at_sign": r"(?:\(at\)|\[at\]|\{at\})",
+    "at_sign": r"(?i:\(at\)|\[at\]|\{at\})",
     "account_form": r"^[A-Z]{2}[0-9]{2}[ A-Z0-9]{9,}$",
     "hex": r"^[0-9a-f]{24,}$",
     "mixed": r"^(?=.*[0-9].*[0-9].*[0-9])(?=.*[A-Za-z].*[A-Za-z].*[A-Za-z]).{20,}$",
@@ -224,7 +226,7 @@ def with_spans(df: DataFrame, text_col: str, base: str = "_base", more: str = "_
         possible = (text.contains(need) if kind == "email" else digit & text.contains(need)) if need else digit
         parts.append(F.filter(spans(text, pattern, kind, possible), valid(kind)))
     df = df.withColumn(base, F.concat(*parts))
-    possible = {"number": digit, "address": text.rlike(r"[(\[{]at[)\]}]"), "account": digit, "key": text.rlike("[A-Za-z0-9_-]{20}")}
+    possible = {"number": digit, "address": text.rlike(r"(?i)[(\[{]at[)\]}]"), "account": digit, "key": text.rlike("[A-Za-z0-9_-]{20}")}
     extra = [F.filter(spans(text, pattern, kind, possible[kind]), lambda s: ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))) for kind, pattern in CANDIDATES.items()]
     df = df.withColumn(more, F.concat(*extra))
     kept = F.filter(F.col(more), lambda s: chosen(text, s))

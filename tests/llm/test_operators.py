@@ -343,6 +343,16 @@ def test_pii(spark, docs):
     assert pii.redact(docs).columns == docs.columns
 
 
+def test_pii_long_keys_and_short_or_capital_addresses(spark):
+    key = ("11acdfb36bb72224148e6160f674b" * 20)[:500]
+    found = {0: f'token = "{key}"', 1: "write to j(at)example.com now", 2: "write to jo.doe (AT) example (Dot) com", 3: f"mail {'b' * 50}(at){'c' * 50}.org", 4: "mail jo.doe(at)x.org", 5: f"token: {key[:201]}", 6: "mail jo.doe(at)mail.x.org", 7: "mail jo.doe(at)mail (dot) x (dot) org"}
+    odd = {10: "a." * 50_000, 11: "a(at)" * 20_000, 12: "x" * 100_000, 13: "a(at)b" + ".c" * 50_000}
+    df = spark.createDataFrame(list((found | odd).items()), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
+    assert got[0] == "key:9:509" and got[5] == "key:7:208"
+    assert [got[k] for k in (1, 2, 4, 6, 7)] == ["address:9:25", "address:9:38", "address:5:20", "address:5:25", "address:5:37"] and got[3] == "address:5:113"
+
+
 def test_pii_model_on_held_out():
     x, y = pii.examples(2000, 99)
     trees, least = pii.model()
