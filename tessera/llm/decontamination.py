@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import doc_text, named, written
 
-#: Parameters: the masks (1: kept, 0: ignored), all of one span.
-MASKS = ("1110011", "1101011", "1011101")
+#: Parameters: the masks (1: kept, 0: ignored), all of one span. In 13 words with any three substituted, one of them fits.
+MASKS = ("1110011", "1101011", "1011101", "1111100", "0010111")
 SPAN = len(MASKS[0])
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 #: Most test seeds that are broadcast (about 24 bytes each); more are joined by shuffle.
@@ -37,21 +37,40 @@ def seeds(words: DataFrame, key: str) -> DataFrame:
     return placed.select(key, "pos", F.explode(each).alias("seed"))
 
 
+def whole_seeds(words: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """key, pos and seed of all runs of so many words."""
+    h = F.transform("words", lambda w: F.xxhash64(w))
+    runs = lambda n: F.transform(F.sequence(F.lit(0), F.size("h") - n), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(-n), F.slice("h", i + 1, n)).alias("seed")))
+    none = F.array().cast("array<struct<pos:int,seed:bigint>>")
+    each = F.concat(*[F.when(F.size("h") >= n, runs(n)).otherwise(none) for n in lengths])
+    return words.select(key, h.alias("h")).select(key, F.explode(each).alias("z")).select(key, "z.pos", "z.seed")
+
+
 def contaminated(docs: DataFrame, items: DataFrame, window: int = 13, agree: float = 0.75, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, matched and compared of each contaminated document and item; the best window of the pair.
 
-    Case and everything but letters and digits are ignored. Items or documents
-    of fewer words than the span of the masks match nothing, as do null texts.
+    Case and everything but letters and digits are ignored. Items of fewer words
+    than the span of the masks match where all their words are, in their order
+    and without others between; null texts and those without words match nothing.
     Equal ids are one document or item with several texts, a null id is never
     reported; other columns are not read; empty tables give an empty table.
     """
     tests = items.select(named(item_col).cast("long").alias("item_id"), named(item_text).cast("string").alias("text")).filter("item_id is not null").distinct()
     tests = written(tests.select("item_id", word_array(F.col("text")).alias("words")), "items")
-    test_seeds = written(seeds(tests.withColumn("k", F.struct("item_id", F.xxhash64("words").alias("w"))), "k").select("seed", F.col("k.item_id").alias("item_id"), F.col("k.w").alias("item_hash"), F.col("pos").alias("at")).distinct(), "seeds")
+    keyed = tests.withColumn("k", F.struct("item_id", F.xxhash64("words").alias("w")))
+    short = sorted(r[0] for r in tests.select(F.size("words")).distinct().collect() if 0 < r[0] < SPAN)
+    found = seeds(keyed, "k")
+    for n in short:
+        found = found.unionByName(whole_seeds(keyed.filter(F.size("words") == n), "k", [n]))
+    test_seeds = written(found.select("seed", F.col("k.item_id").alias("item_id"), F.col("k.w").alias("item_hash"), F.col("pos").alias("at")).distinct(), "seeds")
     if test_seeds.count() <= BROADCAST_SEEDS:
         test_seeds = F.broadcast(test_seeds)
     rows = doc_text(docs, id_col, text_col).filter("doc_id is not null and text is not null")
-    found = seeds(rows.select("doc_id", word_array(F.col("text")).alias("words")), "doc_id").join(test_seeds, "seed")
+    own_words = rows.select("doc_id", word_array(F.col("text")).alias("words"))
+    found = seeds(own_words, "doc_id")
+    if short:
+        found = found.unionByName(whole_seeds(own_words, "doc_id", short))
+    found = found.join(test_seeds, "seed")
     hits = written(found.select("doc_id", "item_id", "item_hash", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "hits")
     near = hits.join(rows, "doc_id").select("doc_id", "item_id", "item_hash", "shift", word_array(F.col("text")).alias("own"))
     test_words = tests.select(F.col("item_id"), F.xxhash64("words").alias("item_hash"), "words")

@@ -310,6 +310,18 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(rows, items.filter("1 = 0")).count() == 0
 
 
+def test_decontamination_finds_all_of_three_substitutions_and_short_items(spark):
+    from itertools import combinations
+
+    words = [f"bench{i}" for i in range(13)]
+    places = list(combinations(range(13), 3))
+    rows = [(i, " ".join("other" if k in p else w for k, w in enumerate(words))) for i, p in enumerate(places)]
+    rows += [(1000, "x five words of an item y"), (1001, "x five words of item an y"), (1002, "one"), (1003, ""), (1004, None)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "Five words, of an item"), (3, "one"), (4, ""), (5, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(i, 1) for i in range(len(places))} | {(1000, 2), (1002, 3)}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
