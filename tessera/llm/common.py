@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import os
+import re
 import tempfile
-import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -35,38 +35,72 @@ def ship(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared folder of spark.checkpoint.dir; a local one is made only where that is unset."""
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """A new folder in the shared folder of spark.checkpoint.dir.
+
+    A temporary folder of the driver stands in only if that is unset and the
+    executors are in the driver's process; on a cluster it is an error.
+    """
+    conf = spark.sparkContext.getConf()
+    top = conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.match(r"local(\[|$)", conf.get("spark.master", "")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="tessera-"))
         top = f"file://{_own_dir[0]}"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: While a temporary table is written: small Arrow batches, and its shuffle files go once it is there.
+WRITING = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def writing(spark: SparkSession) -> Iterator[None]:
+    before = {k: spark.conf.get(k) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as Parquet in the shared folder: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    with writing(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """As written(), in a bucket for each shuffle partition: joins on the key do not shuffle these rows again."""
+def bucketed(df: DataFrame, key: str, name: str, unique: bool = False) -> DataFrame:
+    """As written(), in a bucket for each shuffle partition: joins on the key do not shuffle these rows again. unique: one row of each key."""
     spark = df.sparkSession
     path, table, p = work_dir(spark, name), f"tessera_{name}_{uuid.uuid4().hex}", partitions(spark)
-    df.repartition(p, key).write.bucketBy(p, key).option("path", path).format("parquet").saveAsTable(table)
+    df = df.repartition(p, key)
+    if unique:
+        df = df.dropDuplicates([key])
+    try:
+        with writing(spark):
+            df.write.bucketBy(p, key).option("path", path).format("parquet").saveAsTable(table)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
     out = spark.table(table)
     out._written_to, out._table = path, table
     return out
 
 
 def forget(*frames: DataFrame) -> None:
-    """Delete tables of written() or bucketed() that nothing will read again."""
+    """Delete tables of written() or bucketed() that nothing will read again; other frames are passed over."""
     for df in frames:
+        if not hasattr(df, "_written_to"):
+            continue
         if hasattr(df, "_table"):
             df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._table}")
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
@@ -74,18 +108,18 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files whose frames are no longer referenced; the second round meets what the first let go."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, case aside."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

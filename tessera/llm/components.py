@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, release, written
+from .common import forget, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,27 +13,24 @@ def components(edges: DataFrame) -> DataFrame:
 
     A round lowers each label to the least one next to it and then follows
     labels twice, so rounds grow with the logarithm of the longest path. No
-    rows come to the driver but a count.
+    rows come to the driver but a count. Repeated edges and edges from a
+    vertex to itself are as none, so is one with a null end; a vertex without
+    other edges has no row. No edges give no rows.
     """
-    spark = edges.sparkSession
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
     labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "v"), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("low"))
-        lower = labels.join(near, "v").select("v", F.least("label", "low").alias("label"), F.col("label").alias("was"))
-        lower = written(lower, "labels")
+        near = both.join(labels.select(F.col("v").alias("b"), "label"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("low"))
+        lower = written(labels.select("v", F.col("label").alias("was")).join(near, "v").select("v", F.least("was", "low").alias("label"), "was"), "labels")
         jump = lower.select(F.col("v").alias("label"), F.col("label").alias("next"))
-        after = lower.join(jump, "label").select("v", F.col("next").alias("label"), "was")
-        after = written(after, "labels")
-        changed = after.filter("label <> was").limit(1).count()
+        after = written(lower.join(jump, "label").select("v", F.col("next").alias("label"), "was"), "labels")
         forget(labels, lower)
         labels = after
-        if not changed:
+        if not after.filter("label <> was").limit(1).count():
             forget(both)
-            release(spark)
-            return labels.select("v", "label")
-        labels = written(after.select("v", "label"), "labels")
-        forget(after)
+            out = labels.select("v", "label")
+            out._written_to = labels._written_to
+            return out
 
 
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .common import arrow_map, doc_text, partitions, release, written
+from .common import arrow_map, doc_text, partitions, written
 from .kernel import U64
 
 #: Parameters: bytes of the short strings that own windows, most bytes of an owner that are sorted in one task,
@@ -316,7 +316,6 @@ def suffix_dedup(df: DataFrame, length: int = 200, big: int = BIG, id_col: str =
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = doc_text(df, id_col, text_col).select("doc_id", text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(length), text).alias("k2"))
     found = pieces_of(docs.filter(F.octet_length("text") >= length), length, big)
-    release(df.sparkSession)
     copies = docs.filter(F.octet_length("text") >= length).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("low"))
     copies = written(copies, "copies")
     # one place of each piece to sort, by text
@@ -332,14 +331,12 @@ def suffix_dedup(df: DataFrame, length: int = 200, big: int = BIG, id_col: str =
             yield [x["owner"] for x in some], [x["hash"] for x in some], [x["windows"] for x in some], [x["big"] for x in some], [raw[x["start"] : x["start"] + x["windows"] + length - 1] for x in some]
 
     cuts = written(arrow_map(readers, sliced, "owner long, hash long, windows int, big boolean, piece binary").dropDuplicates(["owner", "hash", "windows"]), "cuts")
-    release(df.sparkSession)
     runs = marked(cuts.filter("not big").drop("big"), length).union(counted(cuts.filter("big").drop("big"), length))
     some = found.filter("sort and not equal").join(runs, ["owner", "hash", "windows"]).select("k1", "k2", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + F.col("n") + length - 1).alias("b"))
     whole = found.filter("equal").select("k1", "k2", F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))
     single = copies.filter("copies = 1").select("k1", "k2")
     spans = some.union(whole).distinct().join(single, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
     spans = written(spans.withColumn("copied", F.lit(False)).union(copies.filter("copies > 1").select("k1", "k2", F.lit(None).cast(spans.schema["spans"].dataType), F.lit(True))), "spans")
-    release(df.sparkSession)
     rows = docs.join(spans.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "spans", "copied")
 
     def strip(batch):

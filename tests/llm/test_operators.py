@@ -136,6 +136,67 @@ def test_jaccard(spark, hot):
     assert got == {i: (len(sets[i]), want[i]) for i in sets}
 
 
+def test_jaccard_links_across_allocations(spark):
+    """S has segments that many share, T doesn't; S is short and T isn't, or the other way round."""
+    texts = []
+    for seed in range(3):
+        r = np.random.default_rng(seed)
+        s = [f"s{seed}x{i}" for i in range(13)]
+        texts += [" ".join(s), " ".join([*s, *[f"t{seed}x{i}" for i in range(4)]])]
+        texts += [" ".join([str(r.choice(s)), *[f"o{seed}x{k}x{j}" for j in range(11 + k % 5)]]) for k in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in jaccard_join.jaccard_join(df, size=1, hot_bucket=8).collect()}
+    assert all(got[k] == got[k + 1] == k for k in (0, 152, 304))
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(0, 32), (1, 3), (2, 1)])
+def test_jaccard_skewed_words_by_brute_force(spark, seed, hot):
+    """Sets of few and skewed words, of which most share several hot ones, and a large group of near copies that drift apart."""
+    r = np.random.default_rng(seed)
+    rows = []
+    for _ in range(150):
+        n = int(r.integers(1, 24))
+        rows.append({f"w{int(x)}" for x in np.minimum(r.zipf(1.25, n), 400)})
+    for _ in range(120):
+        own = set(rows[int(r.integers(0, len(rows)))])
+        for x in list(own)[: int(r.integers(0, 3))]:
+            own.remove(x)
+        rows.append(own | {f"n{int(x)}" for x in r.integers(0, 30, int(r.integers(0, 3)))} or {"one"})
+    base = [f"b{i}" for i in range(16)]
+    for _ in range(150):
+        rows.append({*[base[i] for i in r.choice(16, 14, False)], *[f"c{int(x)}" for x in r.integers(0, 40, 1)]})
+    texts = [" ".join(sorted(x)) for x in rows]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = components({i: frozenset(x) for i, x in enumerate(rows)})
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_join(df, size=1, hot_bucket=hot).collect()}
+    assert got == {i: (len(rows[i]), want[i]) for i in want}
+
+
+def test_jaccard_rows_without_id_bridge(spark):
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words[a : a + 30]) for a in (0, 3, 6)]
+    df = spark.createDataFrame([(5, texts[0]), (None, texts[1]), (None, texts[1]), (9, texts[2]), (9, texts[2]), (None, "alone")], "doc_id long, text string")
+    got = sorted(tuple(x) for x in jaccard_join.jaccard_join(df, size=1).select("doc_id", "component_id").collect() if x.doc_id is not None)
+    assert got == [(5, 5), (9, 5), (9, 5)]
+
+
+def test_unit_pairs_form_every_pair_once():
+    for left, right in ((1, 0), (2, 0), (7, 0), (7, 7), (3, 9), (9, 3), (70, 0)):
+        total = left + right
+        n, label, bits = np.full(total, 9), np.arange(total), np.zeros((total, 1), np.uint64)
+        got, low = [], 0
+        for high in (2, 5, None):
+            got += [(int(a), int(b)) for i, j in jaccard_join.unit_pairs(n, label, bits, left, low, high, 75) for a, b in zip(i, j, strict=True)]
+            low = high
+        want = [(a, b) for a in range(left) for b in (range(left, total) if right else range(a + 1, left))]
+        assert sorted((min(x), max(x)) for x in got) == want
+
+
+def test_keep_one_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b", 0), (2, "a b", 0), (3, None, 1)], "doc_id long, text string, _gone int")
+    assert sorted(r.doc_id for r in jaccard_join.keep_one(df).collect()) == [1, 3]
+
+
 def test_jaccard_odd_tables(docs):
     assert jaccard_join.jaccard_join(docs).count() == docs.count()
     assert jaccard_join.jaccard_join(empty(docs)).count() == 0
