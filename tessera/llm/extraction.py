@@ -31,7 +31,7 @@ CLOSES_SAME = {
 }
 CLOSES_SAME = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES_SAME.items()}
 #: Parameters: elements and words of class, id or role that mark what is not the article, and those that mark it.
-DROPPED = frozenset("script style noscript template iframe object embed svg canvas audio video nav footer aside form button select textarea input head title menu dialog noembed noframes xmp".split())
+DROPPED = frozenset("script style noscript template iframe object embed svg canvas audio video nav footer aside button select textarea input head title menu dialog noembed noframes xmp".split())
 UNLIKELY = re.compile(
     r"ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|breadcrumb\w*|comment|comments|commentlist|reply|replies|disqus|cookie\w*|consent|notice|notices|alert|disclaimer|footer|foot|header|masthead|menu|nav|navbar|navigation|pagination|pager|popup|modal|overlay|related|recommend\w*|share|sharing|social|sidebar|side|subscribe\w*|newsletter|signup|login|widget|toolbar|skip|search"
 )
@@ -40,7 +40,7 @@ PLACES = frozenset("site global page post article entry main top bottom left rig
 COMMENTS = frozenset("comment comments commentlist reply replies disqus".split())
 LIKELY = re.compile(r"(?<![a-z])(article|body|content|entry|main|page|post|story|text)(?![a-z])")
 UNLIKELY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-MIN_BLOCK, SIBLING_SHARE, SIBLING_DENSITY, ARTICLE_SHARE = 25, 0.2, 0.25, 0.25
+MIN_BLOCK, SIBLING_SHARE, SIBLING_DENSITY, ARTICLE_SHARE, FORM_SHARE = 25, 0.2, 0.25, 0.25, 0.9
 
 #: A quote opens a value only right after the equals sign of an attribute, as in browsers; elsewhere it is an ordinary character.
 VALUE = r"=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?"
@@ -63,7 +63,7 @@ class Node:
             return "", "", False
         a = {k.lower(): x or y or z for k, x, y, z in reversed(ATTRIBUTE.findall(self.attrs))}
         style = a.get("style", "").replace(" ", "").lower()
-        hidden = "display:none" in style or "visibility:hidden" in style or a.get("aria-hidden", "").lower() == "true" or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", self.attrs, re.I))
+        hidden = "hidden" in a or "display:none" in style or "visibility:hidden" in style or a.get("aria-hidden", "").lower() == "true"
         return f"{a.get('class', '')} {a.get('id', '')}".lower(), a.get("role", "").lower(), hidden
 
 
@@ -71,6 +71,19 @@ def parse(page: str) -> Node:
     """The tree of a page; never fails, whatever the markup."""
     root = node = Node("html", None)
     at, lower = 0, None
+    depth: dict[str, int] = {}  # how many elements of a name are open, so that none is looked for in vain
+
+    def leave(to: Node) -> Node:
+        inner = node
+        while inner is not to:
+            depth[inner.tag] -= 1
+            inner = inner.parent
+        return to
+
+    def enter(to: Node) -> Node:
+        depth[to.tag] = depth.get(to.tag, 0) + 1
+        return to
+
     while True:
         m = TOKEN.search(page, at)
         end = m.start() if m else len(page)
@@ -83,35 +96,35 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            up = node
+            up = node if depth.get(tag) else None
             while up is not None and up.tag != tag:
                 if up.tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot") and tag not in BLOCKS:
                     up = None
                     break
                 up = up.parent
             if up is not None and up.parent is not None:
-                node = up.parent
+                node = leave(up.parent)
             elif tag == "br":
                 node.items.append(Node("br", node))
             continue
         if tag in ("html", "body", "head"):
             if tag == "head":
-                node = Node("head", node)
+                node = enter(Node("head", node))
                 node.parent.items.append(node)
             elif tag == "body":
                 while node is not root and node.tag == "head":
-                    node = node.parent
+                    node = leave(node.parent)
                 root.attrs = ""
             continue
         if node.tag == "head" and tag not in RAW and tag not in VOID:
-            node = node.parent
-        if tag in CLOSES_P:
+            node = leave(node.parent)
+        if tag in CLOSES_P and depth.get("p"):
             up = node
             while up is not None and up.tag != "p" and up.tag not in BLOCKS:
                 up = up.parent
             if up is not None and up.tag == "p":
-                node = up.parent
-        if tag in CLOSES_SAME:
+                node = leave(up.parent)
+        if tag in CLOSES_SAME and any(depth.get(x) for x in CLOSES_SAME[tag][0]):
             same, stop = CLOSES_SAME[tag]
             up, last = node, None
             while up is not None and up.tag not in stop:
@@ -119,7 +132,7 @@ def parse(page: str) -> Node:
                     last = up
                 up = up.parent
             if last is not None:
-                node = last.parent
+                node = leave(last.parent)
         child = Node(tag, node, m[3])
         node.items.append(child)
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "path"):
@@ -133,7 +146,7 @@ def parse(page: str) -> Node:
             child.items.append(page[at:close])
             at = page.find(">", close) + 1 or len(page)
             continue
-        node = child
+        node = enter(child)
 
 
 def gone(node: Node, inside: bool) -> bool:
@@ -198,7 +211,7 @@ def holds(root: Node) -> dict[int, float]:
 
 
 def prune(root: Node) -> None:
-    """Take out what is not the article by element, role or name; a name does not count where most of the page's text is."""
+    """Take out what is not the article by element, role or name; a name does not count where most of the page's text is, nor a form that wraps nearly all of it."""
     share = None
     stack = [(root, False)]
     while stack:
@@ -209,9 +222,9 @@ def prune(root: Node) -> None:
             if not isinstance(x, str):
                 if gone(x, inside):
                     continue
-                if unlikely(x, inside):
+                if x.tag == "form" or unlikely(x, inside):
                     share = holds(root) if share is None else share
-                    if share.get(id(x), 0.0) <= 0.5:
+                    if share.get(id(x), 0.0) <= (FORM_SHARE if x.tag == "form" else 0.5):
                         continue
                 stack.append((x, inside))
             items.append(x)
@@ -245,16 +258,15 @@ def score(root: Node) -> list[Node]:
         node.commas += sum(x.count(",") for x in node.items if isinstance(x, str))
         if node.tag == "a":
             node.links = node.length
-    for node in order:
+    # a parent has the points of its blocks in full and half of what these have from theirs
+    for node in reversed(order):
         n, commas = own[id(node)]
-        if node.tag not in BLOCKS or n < MIN_BLOCK or node is root and n == node.length == 0:
-            continue
         density = node.links / node.length if node.length else 0.0
-        points = (1 + commas + min(3, n / 100)) * (1 - density)
-        up, share = node.parent or node, 1.0
-        while up is not None:
-            up.score += points * share
-            up, share = up.parent, share / 2
+        points = (1 + commas + min(3, n / 100)) * (1 - density) if node.tag in BLOCKS and n >= MIN_BLOCK else 0.0
+        if node.parent is None:
+            node.score += points
+        else:
+            node.parent.score += points + node.score / 2
     containers = [node for node in order if node.tag in BLOCKS and node.length]
     for node in containers:
         bonus = 25 if node.tag in ("article", "main") else 0
@@ -319,8 +331,11 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     """page_id, url, text and n_chars of every page.
 
     A null or empty page has the empty text; so has a page of which nothing
-    but menus and the like remains. Broken and cut markup is read as a browser
-    would. Repeated rows stay repeated; an empty table gives an empty table;
+    but menus and the like remains. Broken and cut markup never fails: tags,
+    quotes and what an opening tag closes are read by the rules of HTML, but
+    misnested formatting and text between table rows stay where they are. A
+    form goes with its text unless it wraps nearly all of the page; its
+    controls always go. Work grows in proportion to a page's length. Repeated rows stay repeated; an empty table gives an empty table;
     other columns are not read.
     """
     rows = df.select(named(id_col).cast("long").alias("page_id"), named(url_col).cast("string").alias("url"), named(html_col).cast("string").alias("html"))
