@@ -42,6 +42,9 @@ EXAMPLES, TREES, DEPTH, RATE, SEED, CONTEXT, PRECISION = 4000, 24, 3, 0.3, 7, 24
 #: Words before a span that tell what it is.
 TELLS = r"(?i)(?:tel|phone|call|mobile|fax|contact|card|visa|account|acct|iban|ssn|social|passport|mail|reach|write|secret|token|passw\w*|key|auth\w*|bearer)\W{0,6}(?:\w{1,6}\W{1,3})?$"
 
+#: Words before a number that tell that it is none of a person.
+OTHERS = r"(?i)(?:number|numbers|nr|no|order|part|parts|item|model|version|page|pages|isbn|issn|sku|ref|reference|invoice|serial|lot|batch|date|dated|year|years|from|since|total|count|section|chapter|room|build|commit|sha\w*|md5|hash|checksum|digest|id)\W{0,4}$"
+
 #: Features of a span m with the text before it.
 FEATURES = {
     "digits": (r"[^0-9]", "count"),
@@ -59,23 +62,59 @@ FEATURES = {
     "mixed": r"^(?=.*[0-9].*[0-9].*[0-9])(?=.*[A-Za-z].*[A-Za-z].*[A-Za-z]).{20,}$",
 }
 FEATURES = {k: v if isinstance(v, tuple) else (v, "match") for k, v in FEATURES.items()}
-NAMES = (*FEATURES, "length", "tell")
+NAMES = (*FEATURES, "length", "tell", "other")
+
+
+#: Spans that are folded at once: appending copies an array, so long ones are made of blocks.
+BLOCK = 256
+SPAN = "array<struct<kind:string,start:int,end:int,m:string,before:string>>"
+
+
+def bound(x: Column, f) -> Column:
+    """f(x) with x evaluated once, as expressions in the functions of arrays are evaluated at each use."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def scan(items: Column, zero: Column, step, kind: str) -> Column:
+    """The outputs of a fold over an array, one for each item: step(state, item) gives (state, output) of the types of zero and kind.
+
+    Blocks of BLOCK items are folded one by one, so work grows with the
+    number of items and not with its square, save for a 256 * 256th of it.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def inner(acc: Column, x: Column) -> Column:
+        state, out = step(acc["s"], x)
+        return F.struct(state.alias("s"), F.array_append(acc["o"], out).alias("o"))
+
+    def outer(acc: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(acc["s"].alias("s"), none.alias("o")), inner)
+        return bound(done, lambda d: F.struct(d["s"].alias("s"), F.array_append(acc["o"], d["o"]).alias("o")))
+
+    def folded(x: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int")), lambda k: F.slice(x, k * BLOCK + 1, BLOCK))
+        out = F.aggregate(blocks, F.struct(zero.alias("s"), F.array().cast(f"array<array<{kind}>>").alias("o")), outer, lambda acc: F.flatten(acc["o"]))
+        return F.when(F.size(x) > 0, out).otherwise(none)
+
+    return bound(items, folded)
 
 
 def spans(text: Column, pattern: str, kind: str, possible: Column) -> Column:
-    """Array of (kind, start, end, m) of the leftmost matches, in code points."""
+    """Array of (kind, start, end, m, before) of the leftmost matches, in code points; before: the CONTEXT characters before the match."""
     # gaps and matches alternate, so their lengths give the places
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    kind_of = lambda m, a: F.struct(F.lit(kind).alias("kind"), a.alias("start"), (a + F.char_length(m)).alias("end"), m.alias("m"))
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,m:string>>")
+    pairs = bound(F.struct(gaps.alias("g"), found.alias("m")), lambda z: F.zip_with(F.slice(z["g"], 1, F.size(z["m"])), z["m"], lambda g, m: F.struct(g.alias("g"), m.alias("m"))))
+    last = lambda x: F.substring(x, -CONTEXT, CONTEXT)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["g"])
-        return F.struct((start + F.char_length(x["m"])).alias("at"), F.array_append(acc["out"], kind_of(x["m"], start)).alias("out"))
+    def step(state: Column, x: Column) -> tuple[Column, Column]:
+        start = state["at"] + F.char_length(x["g"])
+        end = start + F.char_length(x["m"])
+        before = last(F.concat(state["tail"], last(x["g"])))
+        out = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["m"].alias("m"), before.alias("before"))
+        return F.struct(end.alias("at"), last(F.concat(before, last(x["m"]))).alias("tail")), out
 
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    walked = F.aggregate(F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("g"), m.alias("m"))), zero, step, lambda acc: acc["out"])
-    return F.when(possible, walked).otherwise(empty)
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"))
+    return F.when(possible, scan(pairs, zero, step, SPAN[6:-1])).otherwise(F.array().cast(SPAN))
 
 
 def luhn(digits: Column) -> Column:
@@ -110,14 +149,14 @@ def of_kind(kind: str):
 
 def feature_columns(m: Column, before: Column) -> dict[str, Column]:
     out = {k: F.char_length(F.regexp_replace(m, p, "")) if how == "count" else m.rlike(p).cast("int") for k, (p, how) in FEATURES.items()}
-    return out | {"length": F.char_length(m), "tell": before.rlike(TELLS).cast("int")}
+    return out | {"length": F.char_length(m), "tell": before.rlike(TELLS).cast("int"), "other": before.rlike(OTHERS).cast("int")}
 
 
 def feature_row(m: str, before: str) -> list[int]:
     import regex
 
     out = [len(regex.sub(p, "", m)) if how == "count" else int(bool(regex.search(p, m))) for p, how in FEATURES.values()]
-    return [*out, len(m), int(bool(regex.search(TELLS, before)))]
+    return [*out, len(m), int(bool(regex.search(TELLS, before))), int(bool(regex.search(OTHERS, before)))]
 
 
 def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,11 +165,14 @@ def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     d = lambda k: "".join(r.choice(list("0123456789"), k))
     w = lambda k, a="abcdefghijklmnopqrstuvwxyz": "".join(r.choice(list(a), k))
     pick = lambda *x: x[r.integers(len(x))]
-    plain = lambda: pick("", "the ", "about ", "in ", "page ", "order no. ", "version ", "total ", "see ", "of the ")
+    plain = lambda: pick("", "the ", "about ", "in ", "see ", "of the ", "and ", "with ")
+    tell = lambda: pick("call ", "the call number ", "phone ", "card ", "account ", "contact: ", "key ", "reach ", "mail ", "social ")
+    other = lambda: pick("parts ", "order no. ", "page ", "version ", "total ", "item ", "model ", "ISBN ", "sku: ", "invoice ", "serial number ", "ref ", "commit ", "sha256: ", "dated ", "since ")
+    aside = lambda: pick(plain, plain, tell, other)()
     x, y = [], []
     for _ in range(n):
         yes = bool(r.integers(2))
-        kind = r.integers(5)
+        kind = r.integers(5 if yes else 7)
         if yes:
             m, before = [
                 (lambda: (pick(f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"{d(3)} {d(3)} {d(4)}"), pick(plain(), "call ", "tel: ", "phone ", "mobile: "))),
@@ -141,11 +183,14 @@ def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
             ][kind]()
         else:
             m, before = [
-                (lambda: (pick(f"{r.integers(1, 29)}/{r.integers(1, 13)}/{r.integers(1950, 2030)}", f"{r.integers(1950, 2030)}-{d(2)}-{d(2)}", f"{r.integers(1500, 2030)}-{r.integers(1500, 2030)}"), plain())),
-                (lambda: (pick(d(8), d(9), d(10), d(11), d(12), d(16), d(18)), plain())),
-                (lambda: (pick(f"{d(3)}.{d(3)}.{d(3)}", f"{d(2)} {d(2)} {d(2)} {d(2)}", f"{d(4)}.{d(4)}", f"{d(1)}.{d(2)}.{d(3)}.{d(4)}.{d(2)}", f"{d(5)}/{d(5)}", f"{d(6)}-{d(3)}"), plain())),
-                (lambda: (w(r.integers(20, 60)), plain())),
-                (lambda: (pick("-", "_").join(w(r.integers(3, 9)) for _ in range(r.integers(4, 8))), plain())),
+                (lambda: (pick(f"{r.integers(1, 29)}/{r.integers(1, 13)}/{r.integers(1950, 2030)}", f"{r.integers(1950, 2030)}-{d(2)}-{d(2)}", f"{r.integers(1500, 2030)}-{r.integers(1500, 2030)}"), aside())),
+                (lambda: (pick(d(8), d(9), d(10), d(11), d(12), d(16), d(18)), aside())),
+                (lambda: (pick(f"{d(3)}.{d(3)}.{d(3)}", f"{d(2)} {d(2)} {d(2)} {d(2)}", f"{d(4)}.{d(4)}", f"{d(1)}.{d(2)}.{d(3)}.{d(4)}.{d(2)}", f"{d(5)}/{d(5)}", f"{d(6)}-{d(3)}"), aside())),
+                (lambda: (w(r.integers(20, 60)), aside())),
+                (lambda: (pick("-", "_").join(w(r.integers(3, 9)) for _ in range(r.integers(4, 8))), aside())),
+                # numbers in the form of a person's, and digests, of which the words before say that they are something else
+                (lambda: (pick(f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)} {d(3)} {d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"{d(3)}-{d(2)}-{d(4)}", f"{d(3)} {d(2)} {d(4)}"), other())),
+                (lambda: (w(pick(32, 40, 64), "0123456789abcdef"), pick(plain, other)())),
             ][kind]()
         x.append(feature_row(m, before))
         y.append(yes)
@@ -206,17 +251,27 @@ def tree_column(tree, columns: list[Column]) -> Column:
     return F.when(columns[j] <= cut, tree_column(low, columns)).otherwise(tree_column(high, columns))
 
 
-def chosen(text: Column, span: Column) -> Column:
+def chosen(span: Column) -> Column:
     """Whether the trees select a candidate span. Features are computed once, in an array."""
     trees, least = model()
-    m = span["m"]
-    start = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    before = F.substring(text, start + 1, span["start"] - start)
-    features = feature_columns(m, before)
+    features = feature_columns(span["m"], span["before"])
     one = F.transform(F.array(F.array(*[features[k].cast("double") for k in NAMES])), lambda f: sum((tree_column(t, [F.element_at(f, k + 1) for k in range(len(NAMES))]) * RATE for t in trees), F.lit(0.0)) >= least)
     return F.element_at(one, 1)
 
 
+def apart(base: Column, more: Column) -> Column:
+    """The spans of more that meet none of base, by two folds over the starts of both: one up, one down."""
+    flagged = lambda x, is_base: F.transform(x, lambda s: F.struct(s["start"].alias("a"), F.lit(is_base).alias("b"), s["end"].alias("z"), s.alias("s")))
+    kind = f"struct<a:int,b:boolean,z:int,s:{SPAN[6:-1]}>"
+    kept = lambda x, ok: F.when(ok | x["b"], x).otherwise(F.lit(None).cast(kind))
+    up = F.array_sort(F.concat(flagged(base, True), flagged(more, False)))
+    # the furthest end of the base spans that start before or at a span, then the nearest start of those that start at or after it
+    up = scan(up, F.lit(0), lambda end, x: (F.when(x["b"], F.greatest(end, x["z"])).otherwise(end), kept(x, end <= x["a"])), kind)
+    down = F.reverse(F.filter(up, lambda x: x.isNotNull()))
+    down = scan(down, F.lit((1 << 31) - 1), lambda start, x: (F.when(x["b"], x["a"]).otherwise(start), kept(x, start >= x["z"])), kind)
+    return F.transform(F.reverse(F.filter(down, lambda x: x.isNotNull() & ~x["b"])), lambda x: x["s"])
+
+
 def with_spans(df: DataFrame, text_col: str, base: str = "_base", more: str = "_more") -> DataFrame:
     """df with base spans and chosen further spans; a further span that meets a base one, or a better one before it, goes."""
     text = F.coalesce(named(text_col).cast("string"), F.lit(""))
@@ -227,18 +282,14 @@ def with_spans(df: DataFrame, text_col: str, base: str = "_base", more: str = "_
         parts.append(F.filter(spans(text, pattern, kind, possible), valid(kind)))
     df = df.withColumn(base, F.concat(*parts))
     possible = {"number": digit, "address": text.rlike(r"(?i)[(\[{]at[)\]}]"), "account": digit, "key": text.rlike("[A-Za-z0-9_-]{20}")}
-    extra = [F.filter(spans(text, pattern, kind, possible[kind]), lambda s: ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))) for kind, pattern in CANDIDATES.items()]
-    df = df.withColumn(more, F.concat(*extra))
-    kept = F.filter(F.col(more), lambda s: chosen(text, s))
-    df = df.withColumn(more, F.when(F.size(more) > 0, kept).otherwise(F.col(more)))
-    order = F.array_sort(F.transform(more, lambda s: F.struct(s["start"], (-s["end"]).alias("e"), s["kind"], s["end"], s["m"])))
-
-    def disjoint(acc: Column, s: Column) -> Column:
-        free = (F.size(acc) == 0) | (F.element_at(acc, -1)["end"] <= s["start"])
-        return F.when(free, F.array_append(acc, F.struct(s["kind"], s["start"], s["end"], s["m"]))).otherwise(acc)
-
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,m:string>>")
-    return df.withColumn(more, F.when(F.size(more) > 1, F.aggregate(order, none, disjoint)).otherwise(F.col(more)))
+    df = df.withColumn(more, F.concat(*[spans(text, pattern, kind, possible[kind]) for kind, pattern in CANDIDATES.items()]))
+    df = df.withColumn(more, F.when((F.size(more) > 0) & (F.size(base) > 0), apart(F.col(base), F.col(more))).otherwise(F.col(more)))
+    df = df.withColumn(more, F.when(F.size(more) > 0, F.filter(F.col(more), chosen)).otherwise(F.col(more)))
+    kind = f"struct<start:int,e:int,s:{SPAN[6:-1]}>"
+    order = F.array_sort(F.transform(more, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("e"), s.alias("s"))))
+    free = scan(order, F.lit(0), lambda end, x: (F.when(x["start"] >= end, -x["e"]).otherwise(end), F.when(x["start"] >= end, x).otherwise(F.lit(None).cast(kind))), kind)
+    disjoint = F.transform(F.filter(free, lambda x: x.isNotNull()), lambda x: x["s"])
+    return df.withColumn(more, F.when(F.size(more) > 1, disjoint).otherwise(F.col(more)))
 
 
 def listed(found: Column) -> Column:
@@ -271,23 +322,26 @@ def redact(df: DataFrame, text_col: str = "text", chars_col: str | None = "n_cha
     tmp = "_pii"
     while any(c.lower().startswith(tmp) for c in df.columns):
         tmp += "_"
-    found, more = f"{tmp}b", f"{tmp}m"
+    found, more, last = f"{tmp}b", f"{tmp}m", f"{tmp}e"
     rows = with_spans(df, text_col, found, more)
-    order = F.array_sort(F.transform(F.concat(found, more), lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+    order = F.array_sort(F.transform(F.concat(found, more), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    # each span from where the ones before end; those that begin inside go on without a mark of their own
+    piece_kind = "struct<a:int,b:int,mark:string>"
+    marked = lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+    step = lambda at, s: (F.greatest(at, s["end"]), F.struct(at.alias("a"), F.greatest(at, s["start"]).alias("b"), F.when((s["start"] >= at), marked(s)).otherwise(F.lit("")).alias("mark")))
+    rows = rows.withColumn(last, F.coalesce(F.array_max(F.transform(order, lambda s: s["end"])), F.lit(0)))
+    rows = rows.withColumn(more, F.when(F.size(found) + F.size(more) > 0, scan(order, F.lit(0), step, piece_kind)).otherwise(F.array().cast(f"array<{piece_kind}>")))
+    text = named(text_col)
 
-    def union(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > s["start"]), F.array_append(F.slice(acc, 1, F.size(acc) - 1), longer)).otherwise(F.array_append(acc, s))
+    def put(block: Column) -> Column:
+        """The text from the first piece of the block to its last, cut from that stretch alone, as a cut reads from the start."""
+        first = F.element_at(block, 1)["a"]
+        stretch = F.substring(text, first + 1, F.element_at(block, -1)["b"] - first)
+        return bound(F.struct(first.alias("at"), stretch.alias("t")), lambda z: F.array_join(F.transform(block, lambda p: F.concat(F.substring(z["t"], p["a"] - z["at"] + 1, p["b"] - p["a"]), p["mark"])), ""))
 
-    joined = F.aggregate(order, none, union)
-    rows = rows.withColumn(more, F.when(F.size(found) + F.size(more) > 0, joined).otherwise(none))
-    text = named(text_col)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(more) - 1) / BLOCK).cast("int")), lambda k: F.slice(F.col(more), k * BLOCK + 1, BLOCK))
+    clean = F.concat(F.array_join(F.transform(blocks, put), ""), F.substring(text, F.col(last) + 1, F.char_length(text)))
     k = F.size(more)
-    start = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.try_element_at(F.col(more), i)["end"])
-    piece = lambda i: F.when(i == k, F.substring(text, start(i) + 1, F.char_length(text))).otherwise(F.concat(F.substring(text, start(i) + 1, F.try_element_at(F.col(more), i + 1)["start"] - start(i)), F.lit("["), F.upper(F.try_element_at(F.col(more), i + 1)["kind"]), F.lit("]")))
-    clean = F.array_join(F.transform(F.sequence(F.lit(0), k), piece), "")
     rows = rows.withColumn(text_col, F.when((k > 0) & text.isNotNull(), clean).otherwise(text))
     if chars_col and chars_col in df.columns:
         rows = rows.withColumn(chars_col, F.when(k > 0, F.char_length(named(text_col)).cast(df.schema[chars_col].dataType)).otherwise(named(chars_col)))
