@@ -319,11 +319,8 @@ class Pieces:
         bounds, doc, special = self._parts(data, offsets)
         part, entry = self._codes(data, bounds)
         length = self.length[entry]
-        for p, _ in special:
-            length[part == p] = 0
         per_part = np.bincount(part, length, len(doc)) if len(part) else np.zeros(len(doc))
-        for p, _ in special:
-            per_part[p] = 1
+        per_part[[p for p, _ in special]] = 1
         return row_sums(doc, len(offsets) - 1, per_part)
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import named, without, written
+from .common import free, named, without, written
 
 #: Numbering is done in this many cells a bucket, so that no task holds a bucket.
 CELLS = 1024
@@ -85,10 +85,7 @@ def length_buckets(df: DataFrame, length: str = "n_tokens", id_col: str = "doc_i
     """
     added = ("bucket", "bucket_len", "batch", "batch_row")
     df = without(df, *added)
-    tmp = "_pack_len"
-    while any(c.lower() == tmp for c in df.columns):
-        tmp += "_"
-    cell, nth = tmp + "c", tmp + "n"
+    tmp, cell, nth, in_bucket, in_cell, first = (free(df, f"_pack_{k}") for k in ("len", "cell", "nth", "bucket", "of", "start"))
     df = df.withColumn(tmp, F.coalesce(named(length).cast("long"), F.lit(0)))
     lengths, counts = histogram(df, tmp)
     tops = boundaries(lengths, counts, buckets).tolist()
@@ -96,18 +93,23 @@ def length_buckets(df: DataFrame, length: str = "n_tokens", id_col: str = "doc_i
     for k in reversed(range(len(tops))):
         bucket = F.when(F.col(tmp) <= tops[k], F.lit(k)).otherwise(bucket)
         top = F.when(F.col(tmp) <= tops[k], F.lit(tops[k]).cast("long")).otherwise(top)
-    df = df.withColumns({"bucket": bucket, "bucket_len": top, cell: F.pmod(F.xxhash64(named(id_col)), F.lit(CELLS)).cast("int")})
+    df = df.withColumns({"bucket": bucket, "bucket_len": top, cell: F.pmod(F.xxhash64(named(id_col), tmp), F.lit(CELLS)).cast("int")})
     # buckets * CELLS rows at most: where each cell's numbering starts
     start = F.sum("_n").over(Window.partitionBy("bucket").orderBy(cell)) - F.col("_n")
-    starts = F.broadcast(df.groupBy("bucket", cell).agg(F.count(F.lit(1)).alias("_n")).select(F.col("bucket").alias("_b"), F.col(cell).alias("_c"), start.alias("_start")))
+    starts = F.broadcast(df.groupBy("bucket", cell).agg(F.count(F.lit(1)).alias("_n")).select(F.col("bucket").alias(in_bucket), F.col(cell).alias(in_cell), start.alias(first)))
     df = df.withColumn(nth, F.row_number().over(Window.partitionBy("bucket", cell).orderBy(named(id_col), tmp)))
-    df = df.join(starts, (F.col("bucket") == F.col("_b")) & (F.col(cell) == F.col("_c")))
-    number, rows = F.col("_start") + F.col(nth) - 1, F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("bucket_len", F.lit(1)))).cast("long")
-    return df.withColumns({"batch": F.floor(number / rows).cast("long"), "batch_row": (number % rows).cast("long")}).drop(tmp, cell, nth, "_b", "_c", "_start")
+    df = df.join(starts, (F.col("bucket") == F.col(in_bucket)) & (F.col(cell) == F.col(in_cell)))
+    number, rows = F.col(first) + F.col(nth) - 1, F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("bucket_len", F.lit(1)))).cast("long")
+    return df.withColumns({"batch": F.floor(number / rows).cast("long"), "batch_row": (number % rows).cast("long")}).drop(tmp, cell, nth, in_bucket, in_cell, first)
 
 
 def packed(df: DataFrame, path: str, **options) -> DataFrame:
-    """doc_id, n_tokens and the packing of every row of documents, by token counts of a tokenizer."""
+    """doc_id, n_tokens and the packing of every row of documents, by token counts of a tokenizer.
+
+    A null or empty text has 0 tokens and is packed as such; null ids stay,
+    repeated rows keep a place each, an empty table gives an empty table, and
+    other columns are not read.
+    """
     from .token_counts import token_counts
 
     return length_buckets(written(token_counts(df, path).select("doc_id", "n_tokens"), "lengths"), **options)

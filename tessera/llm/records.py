@@ -149,6 +149,11 @@ def read_records(spark: SparkSession, files: list[tuple], at: str) -> DataFrame:
 
 
 def token_records(df: DataFrame, path: str, end_id: int = 0) -> DataFrame:
-    """Write df's token ids as records in the shared folder and read them back."""
+    """Write df's token ids as records in the shared folder and read them back, a row for each row of df.
+
+    Null and empty texts hold the end id only; null ids come first, equal ids
+    are ordered by text, and repeated rows are repeated records; an empty
+    table gives an empty table; other columns are not read.
+    """
     to = work_dir(df.sparkSession, "records")
     return read_records(df.sparkSession, write_records(df, path, to, end_id), to)
