@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, named, written
+from .common import doc_text, free, named, written
 
 #: Parameters: the masks (1: kept, 0: ignored), all of one span. In 13 words with any three substituted, one of them fits.
 MASKS = ("1110011", "1101011", "1011101", "1111100", "0010111")
@@ -56,13 +56,14 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 13, agree: flo
     reported; other columns are not read; empty tables give an empty table.
     """
     tests = items.select(named(item_col).cast("long").alias("item_id"), named(item_text).cast("string").alias("text")).filter("item_id is not null").distinct()
-    tests = written(tests.select("item_id", word_array(F.col("text")).alias("words")), "items")
-    keyed = tests.withColumn("k", F.struct("item_id", F.xxhash64("words").alias("w")))
-    short = sorted(r[0] for r in tests.select(F.size("words")).distinct().collect() if 0 < r[0] < SPAN)
-    found = seeds(keyed, "k")
+    tests = written(tests.select("item_id", word_array(F.col("text")).alias("words")).withColumn("item_hash", F.xxhash64("words")), "items")
+    # items of the same words are searched once
+    test_words = tests.dropDuplicates(["item_hash"]).select("item_hash", "words")
+    short = sorted(r[0] for r in test_words.select(F.size("words")).distinct().collect() if 0 < r[0] < SPAN)
+    found = seeds(test_words, "item_hash")
     for n in short:
-        found = found.unionByName(whole_seeds(keyed.filter(F.size("words") == n), "k", [n]))
-    test_seeds = written(found.select("seed", F.col("k.item_id").alias("item_id"), F.col("k.w").alias("item_hash"), F.col("pos").alias("at")).distinct(), "seeds")
+        found = found.unionByName(whole_seeds(test_words.filter(F.size("words") == n), "item_hash", [n]))
+    test_seeds = written(found.select("seed", "item_hash", F.col("pos").alias("at")).distinct(), "seeds")
     if test_seeds.count() <= BROADCAST_SEEDS:
         test_seeds = F.broadcast(test_seeds)
     rows = doc_text(docs, id_col, text_col).filter("doc_id is not null and text is not null")
@@ -71,19 +72,20 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 13, agree: flo
     if short:
         found = found.unionByName(whole_seeds(own_words, "doc_id", short))
     found = found.join(test_seeds, "seed")
-    hits = written(found.select("doc_id", "item_id", "item_hash", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "hits")
-    near = hits.join(rows, "doc_id").select("doc_id", "item_id", "item_hash", "shift", word_array(F.col("text")).alias("own"))
-    test_words = tests.select(F.col("item_id"), F.xxhash64("words").alias("item_hash"), "words")
-    both = near.join(test_words, ["item_id", "item_hash"])
+    hits = written(found.select("doc_id", "item_hash", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "hits")
+    near = hits.join(rows, "doc_id").select("doc_id", "item_hash", "shift", word_array(F.col("text")).alias("own"))
+    both = near.join(test_words, "item_hash")
     length = F.size("words")
     same = F.transform("words", lambda w, i: F.coalesce(F.when(i + F.col("shift") >= 0, F.get("own", i + F.col("shift"))) == w, F.lit(False)).cast("int"))
     width = F.least(F.lit(window), length)
     sums = F.transform(F.sequence(F.lit(0), length - width), lambda s: F.aggregate(F.slice("same", s + 1, width), F.lit(0), lambda a, x: a + x))
-    best = both.select("doc_id", "item_id", same.alias("same"), length.alias("n"), "words").select("doc_id", "item_id", F.array_max(sums).alias("matched"), width.alias("compared"))
-    return best.filter(F.col("matched") >= F.ceil(F.col("compared") * agree)).groupBy("doc_id", "item_id").agg(F.max("matched").cast("long").alias("matched"), F.max("compared").cast("long").alias("compared"))
+    best = both.select("doc_id", "item_hash", same.alias("same"), length.alias("n"), "words").select("doc_id", "item_hash", F.array_max(sums).alias("matched"), width.alias("compared"))
+    best = best.filter(F.col("matched") >= F.ceil(F.col("compared") * agree)).groupBy("doc_id", "item_hash").agg(F.max("matched").alias("matched"), F.max("compared").alias("compared"))
+    return best.join(tests.select("item_hash", "item_id"), "item_hash").groupBy("doc_id", "item_id").agg(F.max("matched").cast("long").alias("matched"), F.max("compared").cast("long").alias("compared"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of docs without those of contaminated ids, with their columns; rows with a null id stay."""
-    bad = contaminated(docs, items, **options).select(F.col("doc_id").alias("_contaminated")).distinct()
-    return docs.join(bad, named(options.get("id_col", "doc_id")).cast("long") == F.col("_contaminated"), "left_anti")
+    name = free(docs, "_contaminated")
+    bad = contaminated(docs, items, **options).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, named(options.get("id_col", "doc_id")).cast("long") == F.col(name), "left_anti")
