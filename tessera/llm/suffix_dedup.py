@@ -32,6 +32,8 @@ from .kernel import U64
 #: Parameters: bytes of the short strings that own windows, most bytes of an owner that are sorted in one task,
 #: bytes that are sorted at once, and rows that a task holds before it sends them on.
 SHORT, BIG, SORT, FLUSH = 24, 4 << 20, 2 << 20, 400_000
+#: Bytes of pieces that are reduced at once, and bytes of text to sort in a partition.
+PART_BYTES, SORT_BYTES = 12 << 20, 16 << 20
 
 
 def suffix_order(t: np.ndarray, enough: int, reach: int = 1) -> np.ndarray:
@@ -152,16 +154,16 @@ def runs_of(order_of: tuple[np.ndarray, ...]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def pieces_of(docs: DataFrame, length: int, most: int = BIG) -> DataFrame:
+def pieces_of(docs: DataFrame, length: int, total: int, most: int = BIG) -> DataFrame:
     """The pieces whose owner occurs again: owner, hash, k1, k2, start, windows, equal, sort, big.
 
     equal: the same piece occurs again; sort: its owner has other pieces too
-    or may repeat inside. docs: k1, k2, text. Equal pieces of a task are
+    or may repeat inside. docs: k1, k2, text, of total bytes. Equal pieces of a task are
     reduced to one before the shuffle, the others being known as repeats.
     """
-    spark = docs.sparkSession
-    p = partitions(spark)
-    parts = 4 * p
+    # a window opens a piece with a chance of 2 in the number of its short strings and one
+    pieces = total * 2 // (length - SHORT + 2)
+    parts = max(partitions(docs.sparkSession), -(-pieces * RECORD.itemsize // PART_BYTES))
 
     def send(batch):
         seen: set[tuple[int, int]] = set()
@@ -217,46 +219,45 @@ def pieces_of(docs: DataFrame, length: int, most: int = BIG) -> DataFrame:
         columns = [pa.array(np.ascontiguousarray(rows[n]).view(np.int64) if k is U64 else np.ascontiguousarray(rows[n])) for n, k in COLUMNS[:-1]]
         return pa.RecordBatch.from_arrays([*columns, pa.array(equal), pa.array(sort), pa.array(big)], [n for n, _ in COLUMNS[:-1]] + ["equal", "sort", "big"])
 
-    def reduced(held: list[tuple[bool, bytes]]) -> Iterator:
-        own = [b for known, b in held if not known]
-        if own:
-            rows = unpacked(own)
-            rows = rows[np.lexsort((rows["start"], rows["k2"], rows["k1"], rows["windows"], rows["hash"], rows["owner"]))]
-            piece = runs_of((rows["owner"], rows["hash"], rows["windows"]))
-            size = np.diff(np.append(piece, len(rows)))
-            equal = np.repeat((size > 1) | (np.bitwise_or.reduceat(rows["flags"], piece) & EQUAL > 0), size)
-            first = runs_of((rows["owner"],))
-            count = np.diff(np.append(first, len(rows)))
-            is_head = np.zeros(len(rows), np.int64)
-            is_head[piece] = 1
-            distinct = np.add.reduceat(is_head, first)
-            text = np.add.reduceat(is_head * (rows["windows"].astype(np.int64) + length - 1), first)
-            inner = np.bitwise_or.reduceat(rows["flags"], first) & INNER > 0
-            sort = np.repeat((distinct > 1) | inner, count)
-            keep = sort | equal
-            yield told(rows[keep], equal[keep], sort[keep], np.repeat(text > most, count)[keep])
-        for blob in (b for known, b in held if known):
-            rows = unpacked([blob])
-            yes = np.ones(len(rows), bool)
-            yield told(rows, yes, ~yes, ~yes)
+    def reduced(blobs: list[bytes]) -> pa.RecordBatch:
+        rows = unpacked(blobs)
+        blobs.clear()
+        rows = rows[np.lexsort((rows["start"], rows["k2"], rows["k1"], rows["windows"], rows["hash"], rows["owner"]))]
+        piece = runs_of((rows["owner"], rows["hash"], rows["windows"]))
+        size = np.diff(np.append(piece, len(rows)))
+        equal = np.repeat((size > 1) | (np.bitwise_or.reduceat(rows["flags"], piece) & EQUAL > 0), size)
+        first = runs_of((rows["owner"],))
+        count = np.diff(np.append(first, len(rows)))
+        is_head = np.zeros(len(rows), np.int64)
+        is_head[piece] = 1
+        distinct = np.add.reduceat(is_head, first)
+        text = np.add.reduceat(is_head * (rows["windows"].astype(np.int64) + length - 1), first)
+        inner = np.bitwise_or.reduceat(rows["flags"], first) & INNER > 0
+        sort = np.repeat((distinct > 1) | inner, count)
+        keep = sort | equal
+        return told(rows[keep], equal[keep], sort[keep], np.repeat(text > most, count)[keep])
 
     def reduce(batches):
-        now, held = None, []
+        held = []
         for batch in batches:
-            for part, known, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if part != now:
-                    yield from reduced(held)
-                    now, held = part, []
-                held.append((known, blob))
-        yield from reduced(held)
-
-    sent = arrow_map(docs.select("k1", "k2", "text"), send, "part int, known boolean, blob binary").repartition(p, "part").sortWithinPartitions("part")
+            for known, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if known:
+                    rows = unpacked([blob])
+                    yes = np.ones(len(rows), bool)
+                    yield told(rows, yes, ~yes, ~yes)
+                else:
+                    held.append(blob)
+        if held:
+            yield reduced(held)
+
+    sent = arrow_map(docs.select("k1", "k2", "text"), send, "part int, known boolean, blob binary").repartitionById(parts, "part")
     return written(sent.mapInArrow(reduce, "owner long, hash long, k1 long, k2 long, start long, windows int, equal boolean, sort boolean, big boolean"), "pieces")
 
 
 def marked(texts: DataFrame, length: int) -> DataFrame:
     """owner, hash, windows, at, n: runs of repeated windows in the pieces to sort. texts: owner, hash, windows, piece."""
-    p = partitions(texts.sparkSession)
+    total = texts.agg(F.sum(F.col("windows").cast("long") + length - 1)).first()[0] or 0
+    p = max(partitions(texts.sparkSession), -(-total // SORT_BYTES))
 
     def sort(batches):
         def told(keys, pieces):
@@ -315,9 +316,10 @@ def suffix_dedup(df: DataFrame, length: int = 200, big: int = BIG, id_col: str =
         raise ValueError("length is 32 at least")
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = doc_text(df, id_col, text_col).select("doc_id", text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(length), text).alias("k2"))
-    found = pieces_of(docs.filter(F.octet_length("text") >= length), length, big)
-    copies = docs.filter(F.octet_length("text") >= length).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("low"))
+    long = docs.filter(F.octet_length("text") >= length)
+    copies = long.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("low"), F.max(F.octet_length("text")).alias("size"))
     copies = written(copies, "copies")
+    found = pieces_of(long, length, copies.agg(F.sum("size")).first()[0] or 0, big)
     # one place of each piece to sort, by text
     place = found.filter("sort").groupBy("owner", "hash", "windows", "big").agg(F.min(F.struct("k1", "k2", "start")).alias("at"))
     wanted = place.groupBy("at.k1", "at.k2").agg(F.collect_list(F.struct("owner", "hash", "windows", "big", "at.start")).alias("pieces")).join(copies.select("k1", "k2", "low"), ["k1", "k2"])
