@@ -42,8 +42,9 @@ from .kernel import U64
 
 #: Parameter: the most sets in a bucket that is searched at levels 0 and 1.
 HOT = 32
-#: Rounds: distances in the order of chance below which pairs are formed; in blocks of at most BLOCK sets or BLOCK_BYTES of parities.
-DISTANCES, BLOCK, BLOCK_BYTES = (8, 64, 512, None), 2048, 1 << 24
+#: Rounds: distances in the order of chance below which pairs are formed (of units of WHOLE sets or fewer, all in the first);
+#: blocks have about BLOCK sets or BLOCK_BYTES of parities at most.
+DISTANCES, WHOLE, BLOCK, BLOCK_BYTES = (2, 8, 64, 512, None), 64, 2048, 1 << 24
 #: Signatures that a task holds before it sends them on, and bytes of them that are sorted at once.
 FLUSH, PART_BYTES = 1_000_000, 12 << 20
 MARK = np.uint32(0xFFFFFFFF)
@@ -428,8 +429,8 @@ def across(units: DataFrame, percent: int, low: int, high: int | None) -> DataFr
 
     units: kin, p, q, side, fp, n, label, bits; a unit (kin, p, q) is a block
     of a bucket (p = q) or two blocks. Pairs are at distances from low to
-    high - 1 in the order of the units' rows; of buckets of at most
-    DISTANCES[1] sets all pairs are formed when low is 0.
+    high - 1 in the order of the units' rows; of units of at most WHOLE sets
+    all pairs are formed when low is 0.
     """
 
     def pairs(batches):
@@ -446,7 +447,7 @@ def across(units: DataFrame, percent: int, low: int, high: int | None) -> DataFr
             if (label == label[0]).all():
                 return
             bits = folded([b for h in held for b in h[4]])
-            top = DISTANCES[1] if low == 0 and len(fp) <= DISTANCES[1] else high
+            top = WHOLE if low == 0 and len(fp) <= WHOLE else high
             for i, j in unit_pairs(n, label, bits, int((side == 0).sum()), low, top, percent):
                 out.append((fp[i], fp[j]))
                 if sum(len(a) for a, _ in out) > 100_000:

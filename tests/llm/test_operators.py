@@ -63,6 +63,21 @@ def test_sharding(docs):
     assert sharding.shard(empty(docs)).count() == 0
 
 
+def test_sharding_keeps_groups_that_fit_whole(spark):
+    """Equal texts share a shard though they exceed a cell many times; only the group of a third of all rows is split."""
+    df = spark.range(6000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot text, which is long enough' WHEN id % 3 = 1 THEN concat('group ', id % 60, repeat(' x', 20)) ELSE concat('own ', id, repeat(' y', 20)) END AS text")
+    rows = sharding.shard(df, 8).join(df, "doc_id").collect()
+    shards, sizes, counts = {}, Counter(), Counter()
+    for r in rows:
+        shards.setdefault(r.text, set()).add(r.shard)
+        sizes[r.shard] += r.size
+        counts[r.shard] += 1
+    assert all(len(s) == 1 for t, s in shards.items() if not t.startswith("hot"))
+    assert max(sizes.values()) - min(sizes.values()) < 0.02 * sum(sizes.values()) / 8
+    for k in counts:
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(counts[k]))
+
+
 def test_sharding_balance_and_hot_group(spark):
     df = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot text' ELSE repeat(cast(id AS string), cast(1 + id % 50 AS int)) END AS text")
     sizes = Counter()
@@ -114,6 +129,25 @@ def test_extraction_keeps_short_article_and_drops_cards():
     assert extraction.main_text(f"<body><div>{STORY}{cards}</div></body>") == STORY_TEXT
 
 
+def test_extraction_reads_attributes_by_name():
+    assert extraction.main_text(f'<body><div class="overflow hidden md">{STORY}</div><div title="a" hidden><p>Not to be seen, as the element is hidden from view.</p></div></body>') == STORY_TEXT
+
+
+def test_extraction_keeps_text_of_a_page_in_one_form():
+    form = '<form><p>Leave your name, please, and your address for the news.</p><label>Name</label><input><button>Go</button></form>'
+    assert extraction.main_text(f'<body><form id="aspnet" action="/">{STORY}<button>Send</button></form></body>') == STORY_TEXT
+    assert extraction.main_text(f"<body><div>{STORY}{form}</div></body>") == STORY_TEXT
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + "text, and more text than a block must have", "<span>" * 20_000 + "<hr></b>" * 20_000, "<div><p>one, two, three and four, five and six" * 20_000, "<li>" * 20_000 + "<td>" * 20_000])
+def test_extraction_work_grows_with_the_page(page):
+    import time
+
+    began = time.time()
+    extraction.main_text(page)
+    assert time.time() - began < 10
+
+
 def test_extraction_drops_long_comments():
     comments = f'<div id="comments"><div class="comment">{STORY * 5}</div></div>'
     assert extraction.main_text(f"<body><div>{STORY}{comments}</div></body>") == STORY_TEXT
@@ -294,6 +328,13 @@ def test_boundaries_are_optimal():
         assert cost(packing.boundaries(lengths, counts, k)) == best
 
 
+def test_packing_with_clashing_names_and_equal_ids(spark):
+    df = spark.createDataFrame([(1, 5, 0), (1, 5, 0), (None, 7, 1), (None, None, 1), (2, 900, 2)], "doc_id long, n_tokens long, _b int").selectExpr("*", "1 AS _c", "2 AS _start", "3 AS _pack_len", "4 AS _pack_nth", "'x' AS Batch")
+    rows = packing.length_buckets(df, buckets=2, budget=20).collect()
+    assert len(rows) == 5 and all(r._b in (0, 1, 2) and (r._c, r._start, r._pack_len, r._pack_nth) == (1, 2, 3, 4) for r in rows)
+    assert sorted((r.batch, r.batch_row) for r in rows if r.bucket == 0) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+
+
 def test_packing(docs):
     rows = packing.packed(docs, tokenizer(), buckets=4, budget=200).collect()
     assert len(rows) == docs.count()
@@ -371,6 +412,15 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(rows, items.filter("1 = 0")).count() == 0
 
 
+def test_decontamination_of_equal_items_and_clashing_names(spark):
+    item = " ".join(f"bench{i}" for i in range(20))
+    items = spark.createDataFrame([(k, item.upper() if k % 2 else item) for k in range(40)], "item_id long, text string")
+    rows = spark.createDataFrame([(1, item, 0), (1, "other", 0), (2, "clean text", 1)], "doc_id long, text string, _contaminated int")
+    got = sorted((r.doc_id, r.item_id, r.matched, r.compared) for r in decontamination.contaminated(rows, items).collect())
+    assert got == [(1, k, 13, 13) for k in range(40)]
+    assert [r.doc_id for r in decontamination.decontaminate(rows, items).collect()] == [2]
+
+
 def test_decontamination_finds_all_of_three_substitutions_and_short_items(spark):
     from itertools import combinations
 
@@ -426,6 +476,60 @@ def test_pii_long_keys_and_short_or_capital_addresses(spark):
     assert [got[k] for k in (1, 2, 4, 6, 7)] == ["address:9:25", "address:9:38", "address:5:20", "address:5:25", "address:5:37"] and got[3] == "address:5:113"
 
 
+def spans_by_hand(text):
+    """Base spans, then the chosen candidates: those that meet no base span, leftmost and longest first."""
+    base = base_spans(text)
+    trees, least = pii.model()
+    more = []
+    for kind, pattern in pii.CANDIDATES.items():
+        import regex
+
+        for m in regex.finditer(pattern, text):
+            if all(m.end() <= a or b <= m.start() for _, a, b in base):
+                x = np.array([pii.feature_row(m[0], text[max(0, m.start() - pii.CONTEXT) : m.start()])], float)
+                if sum(pii.RATE * pii.tree_value(t, x)[0] for t in trees) >= least:
+                    more.append((m.start(), -m.end(), kind))
+    end, kept = 0, []
+    for a, b, kind in sorted(more):
+        if a >= end:
+            kept.append((kind, a, -b))
+            end = -b
+    return base, kept
+
+
+def test_pii_spans_by_brute_force_beyond_a_block(spark):
+    r = np.random.default_rng(4)
+    some = ["(743) 555-3824", "743-555-3824", "parts 555 123 4567", "123-45-6789", "a@b.co", "10.0.0.1", "+1 743 555 3824", "4316 5226 7852 5456", "jo(at)x.org", "token = 11acdfb36bb72224148e6160f674b2", "call number 2019-03-12", "é", "word", "12/05/2001", "GB12 1234 1234 1234 12"]
+    texts = [" ".join(some[int(k)] for k in r.integers(0, len(some), n)) for n in (1, 5, 40, 700, 3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {x.doc_id: x.text for x in pii.redact(df).collect()}
+    for x in pii.find_pii(df).collect():
+        base, more = spans_by_hand(texts[x.doc_id])
+        both = sorted(base + more, key=lambda s: (pii.KINDS.index(s[0]), s[1]))
+        assert x.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in both)
+        out, at = [], 0
+        for k, a, b in sorted(base + more, key=lambda s: (s[1], s[2], s[0])):
+            if a >= at:
+                out += [texts[x.doc_id][at:a], f"[{k.upper()}]"]
+            at = max(at, b)
+        assert clean[x.doc_id] == "".join(out) + texts[x.doc_id][at:]
+
+
+def test_pii_work_grows_with_the_text(spark):
+    import time
+
+    df = spark.createDataFrame([(0, "555 123 4567 and " * 30_000), (1, "10.0.0.1, " * 30_000)], "doc_id long, text string")
+    began = time.time()
+    assert all(r.spans or r.doc_id == 0 for r in pii.find_pii(df).collect()) and len(pii.redact(df).collect()) == 2
+    assert time.time() - began < 240
+
+
+def test_pii_leaves_numbers_that_are_told_to_be_others(spark):
+    texts = ["the call number 2019-03-12 is on the shelf", "parts 555 123 4567 in stock", "order no. 123-45-6789 was sent", "commit 11acdfb36bb72224148e6160f674b211acdfb36b", "call 743-555-3824 now", "SSN: 123-45-6789"]
+    got = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[k] for k in range(4)] == [""] * 4 and got[4] == "number:5:17" and got[5] == "number:5:16"
+
+
 def test_pii_model_on_held_out():
     x, y = pii.examples(2000, 99)
     trees, least = pii.model()
