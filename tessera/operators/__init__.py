@@ -1,4 +1,4 @@
 """Relational operators that Spark lacks or that need care at scale."""
 
-from .joins import asof_join, broadcast_if_small, interval_join, range_join, salted_join  # noqa: F401
+from .joins import asof_join, interval_join, range_join, salted_join  # noqa: F401
 from .windows import sessions, top_per_group  # noqa: F401

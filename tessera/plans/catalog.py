@@ -62,7 +62,7 @@ PORTABLE: dict[str, str] = {
     "subquery_correlated": "SELECT p_partkey FROM {part} p WHERE p_retailprice >= (SELECT max(q.p_retailprice) FROM {part} q WHERE q.p_brand = p.p_brand)",
     "subquery_in": "SELECT s_suppkey, s_name FROM {supplier} WHERE s_nationkey IN (SELECT n_nationkey FROM {nation} WHERE n_regionkey = 1)",
     "cte_recursive": "WITH RECURSIVE t(n, f) AS (SELECT 1, CAST(1 AS BIGINT) UNION ALL SELECT n + 1, f * (n + 1) FROM t WHERE n < 15) SELECT n, f FROM t",
-    "cte_chain": "WITH big AS (SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey), ranked AS (SELECT o_custkey, n, CAST(rank() OVER (ORDER BY n DESC) AS BIGINT) AS r FROM big) SELECT o_custkey, n, r FROM ranked WHERE r <= 20",
+    "cte_chain": "WITH big AS (SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey), least AS (SELECT min(n) AS least FROM (SELECT n FROM big ORDER BY n DESC LIMIT 20) t), ranked AS (SELECT o_custkey, n, CAST(rank() OVER (ORDER BY n DESC) AS BIGINT) AS r FROM big JOIN least ON n >= least) SELECT o_custkey, n, r FROM ranked WHERE r <= 20",
     "string_basic": "SELECT p_partkey, upper(p_name) AS up, CAST(length(p_name) AS BIGINT) AS n, substring(p_name, 2, 3) AS sub, replace(p_name, 'a', '_') AS rep, lpad(p_brand, 12, '*') AS padded, reverse(p_type) AS rev, trim(concat(' ', p_name, ' ')) AS trimmed, split_part(p_brand, '#', 2) AS part2 FROM {part}",
     "string_search": "SELECT c_custkey, CAST(levenshtein(c_mktsegment, 'BUILDING') AS BIGINT) AS d, regexp_extract(c_name, '([0-9]+)', 1) AS digits, starts_with(c_name, 'C') AS st FROM {customer}".replace("starts_with(", "startswith("),
     "string_hash": "SELECT doc_id, md5(text) AS m FROM {documents}",
@@ -264,19 +264,114 @@ def stream_session(spark, base):
     return ev.run_to_table(ev.session_counts(event_stream(spark, base), "30 minutes")).withColumn("session_start", F.col("session_start").cast("timestamp_ntz"))
 
 
+#: Micro-batches in the order of time, and ones of which the last brings rows that are late.
+IN_ORDER = ["ts < timestamp_ntz '2024-01-10'", "ts >= timestamp_ntz '2024-01-10' AND ts < timestamp_ntz '2024-01-20'", "ts >= timestamp_ntz '2024-01-20'"]
+LATE = ["ts < timestamp_ntz '2024-01-10' AND event_id % 50 <> 0", IN_ORDER[1], f"{IN_ORDER[2]} OR ts < timestamp_ntz '2024-01-10' AND event_id % 50 = 0"]
+
+
 @paired("SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY user_id")
 def stream_running_totals(spark, base):
-    out = ev.run_to_table(ev.running_totals(event_stream(spark, base)), "update")
-    return out.groupBy("user_id").agg(F.max("n").alias("n"), F.round(F.max_by("total", "n"), 4).alias("total"))
+    out = ev.run_to_table(ev.running_totals(ev.replayed(load(spark, base, "events"), IN_ORDER)), "update", ("user_id",))
+    return out.select("user_id", "n", F.round("total", 4).alias("total"))
 
 
 @paired("SELECT DISTINCT user_id, event_type FROM events")
 def stream_deduplicated(spark, base):
-    return ev.run_to_table(ev.deduplicated(event_stream(spark, base), ["user_id", "event_type"]), "append").select("user_id", "event_type").distinct()
+    return ev.run_to_table(ev.deduplicated(event_stream(spark, base), ["user_id", "event_type"]), "append").select("user_id", "event_type")
+
+
+@paired("SELECT DISTINCT event_type FROM events")
+def stream_distinct(spark, base):
+    return ev.run_to_table(ev.replayed(load(spark, base, "events"), IN_ORDER).select("event_type").dropDuplicates(), "append")
+
+
+@paired("""WITH e AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS b, ts < TIMESTAMP '2024-01-10' AND event_id % 50 = 0 AS late FROM events),
+    w AS (SELECT max(ts) FILTER (ts < TIMESTAMP '2024-01-10' AND NOT late) - INTERVAL 10 MINUTE AS mark, max(ts) - INTERVAL 10 MINUTE AS last FROM e)
+    SELECT b AS window_start, count(*) AS n FROM e, w WHERE NOT (late AND b + INTERVAL 1 HOUR <= mark) AND b + INTERVAL 1 HOUR <= last GROUP BY b""")
+def stream_append_late(spark, base):
+    """Windows that the watermark has closed; rows that come after their window was closed are dropped."""
+    rows = ev.replayed(load(spark, base, "events"), LATE).groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return ev.run_to_table(rows.select(F.col("w.start").alias("window_start"), "n"), "append").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@paired("SELECT event_id, user_id, c_mktsegment FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase'")
+def stream_static_join(spark, base):
+    rows = ev.replayed(load(spark, base, "events"), IN_ORDER).filter("event_type = 'purchase'")
+    customer = load(spark, base, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    return ev.run_to_table(rows.join(customer, "user_id").select("event_id", "user_id", "c_mktsegment"), "append")
+
+
+@paired("SELECT a.event_id AS click, b.event_id AS purchase FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'purchase' AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 6 HOUR")
+def stream_stream_join(spark, base):
+    events = load(spark, base, "events")
+    left, right = (ev.replayed(events.filter(f"event_type = '{kind}'").select("event_id", "user_id", "ts"), IN_ORDER).alias(k) for k, kind in (("l", "click"), ("r", "purchase")))
+    return ev.run_to_table(ev.interval_pairs(left, right, "user_id", "l.ts", "r.ts", "6 hours").select(F.col("l.event_id").alias("click"), F.col("r.event_id").alias("purchase")), "append")
+
+
+@paired(f"SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS {D})) AS DOUBLE) AS total FROM events GROUP BY event_type")
+def stream_upsert(spark, base):
+    """Updates of each micro-batch, of which foreachBatch keeps the last for each key."""
+    rows = ev.replayed(load(spark, base, "events"), IN_ORDER).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast(D.lower())).cast("double").alias("total"))
+    return ev.run_to_table(rows, "update", ("event_type",))
+
+
+@paired("SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events")
+def variant_get(spark, base):
+    return load(spark, base, "events").select("event_id", F.variant_get(F.parse_json("props"), "$.k", "string").alias("k"))
+
+
+@paired("SELECT l_orderkey, l_linenumber, l_partkey, round(ln(l_extendedprice), 6) AS l, round(power(l_quantity, 1.5), 4) AS p FROM lineitem")
+def math_powers(spark, base):
+    return load(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(F.ln("l_extendedprice"), 6).alias("l"), F.round(F.pow("l_quantity", F.lit(1.5)), 4).alias("p"))
+
+
+@paired("SELECT c_nationkey, c_custkey, c_acctbal, c_acctbal - max(c_acctbal) OVER (PARTITION BY c_nationkey) AS below FROM customer")
+def udf_apply_in_pandas(spark, base):
+    """A grouped map: a group is gathered in one task, so it is for groups of bounded size."""
+
+    def below(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.assign(below=pdf.c_acctbal - pdf.c_acctbal.max())
+
+    rows = load(spark, base, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
+    return rows.groupBy("c_nationkey").applyInPandas(below, "c_nationkey int, c_custkey long, c_acctbal double, below double")
+
+
+@F.pandas_udf(DoubleType())
+def spread(x: pd.Series) -> float:
+    return float(x.max() - x.min())
+
+
+@paired("SELECT c_nationkey, max(c_acctbal) - min(c_acctbal) AS spread FROM customer GROUP BY c_nationkey")
+def udf_grouped_aggregate(spark, base):
+    return load(spark, base, "customer").groupBy("c_nationkey").agg(spread("c_acctbal").alias("spread"))
+
+
+@paired("SELECT n_nationkey, reverse(n_name) || '!' AS told FROM nation")
+def udf_python(spark, base):
+    tell = F.udf(lambda s: None if s is None else s[::-1] + "!", "string")
+    return load(spark, base, "nation").select("n_nationkey", tell("n_name").alias("told"))
+
+
+@paired("SELECT p_partkey, p_retailprice * 2 + p_size AS score FROM part")
+def udf_sql(spark, base):
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tessera_score(price DOUBLE, size INT) RETURNS DOUBLE RETURN price * 2 + size")
+    return load(spark, base, "part").select("p_partkey", F.expr("tessera_score(p_retailprice, p_size)").alias("score"))
+
+
+@paired("SELECT o_orderkey, o_totalprice > 100000 AS large FROM orders")
+def udf_map_in_arrow(spark, base):
+    def mark(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pc.greater(b.column(1), 100000)], ["o_orderkey", "large"])
+
+    return load(spark, base, "orders").select("o_orderkey", "o_totalprice").mapInArrow(mark, "o_orderkey long, large boolean")
 
 
 @paired("SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS q FROM lineitem GROUP BY l_returnflag")
-def udf_grouped_map(spark, base):
+def udf_map_in_pandas(spark, base):
     def total(pdf):
         return pdf.groupby("l_returnflag", as_index=False).agg(n=("l_quantity", "size"), q=("l_quantity", "sum"))
 

@@ -1,3 +1,3 @@
 """Sources and sinks over a configurable base URI."""
 
-from .tables import TABLES, load, load_all, read, stream, write  # noqa: F401
+from .tables import TABLES, load, load_all, object_store, read, scratch, stream, write, write_bucketed  # noqa: F401

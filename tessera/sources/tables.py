@@ -7,6 +7,9 @@ s3a://bucket/prefix; nothing here opens a path outside Spark.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +23,15 @@ def load(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in spark.checkpoint.dir, which driver and executors share; a local one only where that is unset and the master local."""
+    conf = spark.sparkContext.getConf()
+    top = conf.get("spark.checkpoint.dir", None)
+    if not top and not re.match(r"local(\[|$)", conf.get("spark.master", "")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{(top or 'file://' + tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def load_all(spark: SparkSession, base: str, *names: str) -> dict[str, DataFrame]:
     return {n: load(spark, base, n) for n in names or TABLES}
 

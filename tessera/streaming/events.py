@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tessera.sources import scratch, stream
+
 
 def event_time(df: DataFrame, ts: str = "ts", late: str = "10 minutes") -> DataFrame:
     """With ts as an instant (watermarks need one) and a watermark."""
@@ -46,9 +47,42 @@ def running_totals(df: DataFrame, key: str = "user_id", value: str = "value") ->
     return df.groupBy(key).applyInPandasWithState(add, f"{key} long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
 
 
-def run_to_table(df: DataFrame, mode: str = "complete") -> DataFrame:
-    """Run a stream over all that is there now, and its result."""
-    name = f"s{uuid.uuid4().hex}"
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+def interval_pairs(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, after: str) -> DataFrame:
+    """Stream-stream join: pairs of equal keys with right_ts in (left_ts, left_ts + after]; with watermarks on both, state is bounded by the interval."""
+    later = F.col(left_ts) + F.expr(f"interval {after}")
+    return left.join(right, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col(right_ts) > F.col(left_ts)) & (F.col(right_ts) <= later))
+
+
+def replayed(df: DataFrame, batches: list[str], late: str = "10 minutes", ts: str = "ts") -> DataFrame:
+    """A stream with a watermark that brings the rows in a micro-batch for each condition, in their order."""
+    spark, to = df.sparkSession, scratch(df.sparkSession, "replay")
+    for k, rows in enumerate(batches):
+        df.filter(rows).coalesce(1).write.mode("append").parquet(to)
+    return event_time(stream(spark, to, df.schema, files_per_trigger=1), ts, late)
+
+
+def run_to_table(df: DataFrame, mode: str = "complete", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Run a stream over all that is there now, and its result, from files in the shared folder.
+
+    Each micro-batch writes a folder of its own, so one that is run again
+    replaces what it wrote. complete: the last batch's rows; append: the rows
+    of all; update: for each of keys the row that came last.
+    """
+    spark, to = df.sparkSession, scratch(df.sparkSession, "stream")
+    seen: list[int] = []
+
+    def put(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{to}/rows/batch={batch}")
+        seen.append(batch)
+
+    query = df.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", f"{to}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return df.sparkSession.table(name)
+    if not seen:
+        return spark.createDataFrame([], df.schema)
+    out = spark.read.parquet(f"{to}/rows")
+    if mode == "complete":
+        return out.filter(F.col("batch") == max(seen)).drop("batch")
+    if mode == "update":
+        last = out.groupBy(*keys).agg(F.max("batch").alias("batch"))
+        out = out.join(last, [*keys, "batch"])
+    return out.drop("batch").select(*df.columns)
