@@ -557,3 +557,34 @@ def test_pipeline(spark, tmp_path):
         assert 0 < after.count() <= docs.count()
         docs = after
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
+
+
+def test_pipeline_stages_keep_the_right_rows(spark, tmp_path):
+    """Each stage on its own documents, against what plain Python keeps; then the whole on an empty table."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("doc_id < 80")
+    rows = {r.doc_id: r for r in docs.collect()}
+    sf = "/root/testdata/sf0.001"
+    kept = {r.doc_id for r in stages["quality rules"](spark, docs, sf).collect()}
+    assert kept == {r.doc_id for r in quality.quality(docs).filter("kept").collect()} and all(base_counts(rows[i].text)[0] >= 50 for i in kept)
+    want = components({i: shingles(r.text) for i, r in rows.items()})
+    assert {r.doc_id for r in stages["n-gram Jaccard join"](spark, docs, sf).collect()} == {i for i in rows if want[i] == i}
+    items = [re.findall(r"[^\W_]+", r.text.lower()) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+
+    def holds_item(text):
+        own = re.findall(r"[^\W_]+", text.lower())
+        grams = {}
+        for i in range(len(own) - 12):
+            grams.setdefault(tuple(own[i : i + 13]), i)
+        return any(tuple(w[i : i + 13]) in grams for w in items for i in range(len(w) - 12))
+
+    clean = {r.doc_id for r in stages["benchmark decontamination"](spark, docs, sf).collect()}
+    assert not any(holds_item(rows[i].text) for i in clean) and len(clean) > len(rows) // 2
+    for r in stages["PII"](spark, docs, sf).collect():
+        assert not base_spans(r.text) and r.n_chars == len(r.text)
+    os_dir = f"{tmp_path}/sf"
+    docs.filter("1 = 0").write.parquet(f"{os_dir}/documents.parquet")
+    spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{os_dir}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, os_dir).count() == 0
