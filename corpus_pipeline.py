@@ -47,11 +47,17 @@ STAGES = [
     ("packing", length_packed),
 ]
 
-#: SQL cannot express the stages; tests hold each against a brute-force version.
+#: SQL cannot express the stages; tests hold the operators against brute force, and each stage against the rows it must keep.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the batch of each document that all stages keep.
+
+    Documents without text fail the quality rules; rows with a null id pass the
+    stages that report by id; rows of one id and text stay or go together; an empty table
+    gives an empty table.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
