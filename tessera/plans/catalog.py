@@ -275,6 +275,12 @@ def stream_running_totals(spark, base):
     return out.select("user_id", "n", F.round("total", 4).alias("total"))
 
 
+@paired("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type")
+def stream_transform_with_state(spark, base):
+    with ev.rocksdb_state(spark):
+        return ev.run_to_table(ev.kind_counts(ev.replayed(load(spark, base, "events"), IN_ORDER)), "update", ("user_id", "event_type"))
+
+
 @paired("SELECT DISTINCT user_id, event_type FROM events")
 def stream_deduplicated(spark, base):
     return ev.run_to_table(ev.deduplicated(event_stream(spark, base), ["user_id", "event_type"]), "append").select("user_id", "event_type")

@@ -1,3 +1,3 @@
 """Structured Streaming operators on event time."""
 
-from .events import deduplicated, event_time, interval_pairs, replayed, run_to_table, running_totals, session_counts, sliding, tumbling  # noqa: F401
+from .events import deduplicated, event_time, interval_pairs, kind_counts, replayed, rocksdb_state, run_to_table, running_totals, session_counts, sliding, tumbling  # noqa: F401

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.sources import scratch, stream
@@ -47,6 +49,47 @@ def running_totals(df: DataFrame, key: str = "user_id", value: str = "value") ->
     return df.groupBy(key).applyInPandasWithState(add, f"{key} long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
 
 
+class KindCounts(StatefulProcessor):
+    """Map state: rows so far of each kind of a key; those of the kinds in a micro-batch are sent on."""
+
+    def __init__(self, key: str, kind: str):
+        self.key, self.kind = key, kind
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "kind string", "n bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.Series(dtype="int64")
+        for b in rows:
+            new = new.add(b[self.kind].value_counts(), fill_value=0)
+        out = []
+        for kind, n in new.items():
+            n = int(n) + (self.counts.getValue((kind,))[0] if self.counts.containsKey((kind,)) else 0)
+            self.counts.updateValue((kind,), (n,))
+            out.append((key[0], kind, n))
+        yield pd.DataFrame(out, columns=[self.key, self.kind, "n"])
+
+    def close(self) -> None:
+        pass
+
+
+def kind_counts(df: DataFrame, key: str = "user_id", kind: str = "event_type") -> DataFrame:
+    """transformWithState: the count so far of each key and kind; runs within rocksdb_state."""
+    return df.groupBy(key).transformWithStateInPandas(KindCounts(key, kind), f"{key} long, {kind} string, n long", "Update", "None")
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB, outside the executors' heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def interval_pairs(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, after: str) -> DataFrame:
     """Stream-stream join: pairs of equal keys with right_ts in (left_ts, left_ts + after]; with watermarks on both, state is bounded by the interval."""
     later = F.col(left_ts) + F.expr(f"interval {after}")
