@@ -308,6 +308,15 @@ def test_quality_judges_small_languages(spark):
     assert {i for i, x in got.items() if not x.kept} == {*range(100, 106), 203}
 
 
+def test_quality_agrees_with_labels(spark):
+    """The verdict on documents that pass the base rules is that of the labels, which it never reads."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.quality(docs).filter("not base_failed").join(labels, "doc_id").collect()
+    good, bad = ([r for r in rows if r.quality == k] for k in (1, 0))
+    assert len(good) > 100 and len(bad) > 10
+    assert all(r.kept for r in good) and not any(r.kept for r in bad)
+
+
 def test_js_distance():
     p = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0]])
     assert np.allclose(quality.js_distance(p, np.array([0.5, 0.5, 0.0])), [0, 1])
