@@ -51,20 +51,25 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of an Arrow batch, where the session sets none.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 #: While a temporary table is written: small Arrow batches, and its shuffle files go once it is there.
-WRITING = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+WRITING = {BATCH[0]: BATCH[1], "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 @contextmanager
 def writing(spark: SparkSession) -> Iterator[None]:
-    before = {k: spark.conf.get(k) for k in WRITING}
+    before = {k: spark.conf.get(k, None) for k in WRITING}
     for k, v in WRITING.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -135,8 +140,14 @@ def doc_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[Sequence]], schema: str | T.StructType) -> DataFrame:
-    """mapInArrow where fn yields the columns of each output batch."""
+    """mapInArrow where fn yields the columns of each output batch.
+
+    The plan may run long after this call, in a write of the caller's, so the
+    size of its batches is set for the session, unless the caller did.
+    """
     ship(df.sparkSession)
+    if df.sparkSession.conf.get(BATCH[0], None) is None:
+        df.sparkSession.conf.set(*BATCH)
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
 

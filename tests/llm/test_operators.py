@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tessera.llm import decontamination, extraction, jaccard_join, kernel, packing, pii, quality, records, sharding, suffix_dedup, token_counts
+from tessera.llm import common, decontamination, extraction, jaccard_join, kernel, packing, pii, quality, records, sharding, suffix_dedup, token_counts
 from tessera.llm.queries import tokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -597,3 +597,19 @@ def test_pipeline_stages_keep_the_right_rows(spark, tmp_path):
     docs.filter("1 = 0").write.parquet(f"{os_dir}/documents.parquet")
     spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{os_dir}/benchmark.parquet")
     assert corpus_pipeline.run(spark, os_dir).count() == 0
+
+
+def test_arrow_batches_are_bounded_unless_the_session_says(spark):
+    key, ours = common.BATCH
+    df = spark.newSession().createDataFrame([(1, "a b")], "doc_id long, text string")
+    own = df.sparkSession
+    before = own.conf.get(key, None)
+    common.written(df, "plain")
+    assert own.conf.get(key, None) == before
+    if before is None:
+        common.arrow_map(df, lambda batch: iter([batch.columns]), df.schema)
+        assert own.conf.get(key) == ours
+    own.conf.set(key, "1m")
+    assert common.arrow_map(df, lambda batch: iter([batch.columns]), df.schema).collect() == df.collect()
+    common.written(df, "plain")
+    assert own.conf.get(key) == "1m"
