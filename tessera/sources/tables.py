@@ -32,6 +32,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{(top or 'file://' + tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """The rows as Parquet in scratch: what follows reads them again instead of working them out again, also after an executor is lost."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, case aside."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def load_all(spark: SparkSession, base: str, *names: str) -> dict[str, DataFrame]:
     return {n: load(spark, base, n) for n in names or TABLES}
 
