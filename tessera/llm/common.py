@@ -57,10 +57,15 @@ BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 WRITING = {BATCH[0]: BATCH[1], "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
+#: With it, tables of in_place() that are joined by place and another column stay where they are.
+CO_LOCATED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
 @contextmanager
-def writing(spark: SparkSession) -> Iterator[None]:
-    before = {k: spark.conf.get(k, None) for k in WRITING}
-    for k, v in WRITING.items():
+def writing(spark: SparkSession, **more: str) -> Iterator[None]:
+    conf = WRITING | more
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -72,11 +77,11 @@ def writing(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as Parquet in the shared folder: cuts lineage, and survives lost executors."""
+def written(df: DataFrame, name: str, **conf: str) -> DataFrame:
+    """The rows as Parquet in the shared folder: cuts lineage, and survives lost executors. conf: settings while it is written."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    with writing(spark):
+    with writing(spark, **conf):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
@@ -101,6 +106,46 @@ def bucketed(df: DataFrame, key: str, name: str, unique: bool = False) -> DataFr
     return out
 
 
+def in_place(df: DataFrame, row: str, name: str) -> DataFrame:
+    """The rows with column `place`, as a table in buckets by it that no row was moved for.
+
+    row: monotonically_increasing_id(), whose upper bits number the tasks; that
+    number is the place, so a task writes one file, and what is repartitioned
+    by place joins these rows by place and row without moving them.
+    """
+    spark = df.sparkSession
+    path, table = work_dir(spark, name), f"tessera_{name}_{uuid.uuid4().hex}"
+    try:
+        # several open files a task, so its rows are not sorted by bucket first
+        with writing(spark, **{"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+            df.withColumn("place", F.shiftright(row, 33)).write.bucketBy(partitions(spark), "place").option("path", path).format("parquet").saveAsTable(table)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
+    out = spark.table(table)
+    out._written_to, out._table = path, table
+    return out
+
+
+#: A group is hot if it holds more than this share of all rows, so there are fewer hot groups than its inverse.
+HOT_SHARE = 0.001
+
+
+def attached(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """rows left joined with the columns of their group; groups: one row of each key, with its number of rows.
+
+    Hot groups, under 1 / HOT_SHARE of them, are broadcast, so their rows stay
+    where they are; the other rows are shuffled by key. Both frames are read
+    twice, so they should be written. Null keys have no group.
+    """
+    most = max(int(rows.count() * HOT_SHARE), 1)
+    others = [c for c in groups.columns if c not in keys]
+    hot = groups.filter(F.col(size) > most).select(*keys, F.struct(*others).alias("_hot"))
+    near = rows.join(F.broadcast(hot), list(keys), "left")
+    rest = near.filter("_hot is null").select(*rows.columns).join(groups.filter(F.col(size) <= most), list(keys), "left")
+    return near.filter("_hot is not null").select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in others]).unionByName(rest.select(*rows.columns, *others))
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete tables of written() or bucketed() that nothing will read again; other frames are passed over."""
     for df in frames:
@@ -160,3 +205,20 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[Sequence]],
                     yield pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
     return df.mapInArrow(run, schema)
+
+
+def arrow_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[Sequence]], schema: str | T.StructType) -> DataFrame:
+    """As arrow_map, where fn sees all batches of a partition one after another, so it may carry what it knows from one to the next."""
+    ship(df.sparkSession)
+    if df.sparkSession.conf.get(BATCH[0], None) is None:
+        df.sparkSession.conf.set(*BATCH)
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    target = to_arrow_schema(schema)
+
+    def run(batches):
+        for columns in fn(batches):
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+
+    return df.mapInArrow(run, schema)

@@ -1,4 +1,4 @@
-"""The queries of the ten operators and of the pipeline, and SQL for what SQL can express."""
+"""The queries of the operators and of the pipeline, and SQL for what SQL can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, extraction, jaccard_join, packing, pii, quality, records, sharding, suffix_dedup, token_counts
+from . import conversation_repair, decontamination, exact_dedup, extraction, jaccard_join, packing, pii, quality, records, resampling, sharding, suffix_dedup, token_counts
 
 
 def tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -60,8 +60,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(rows), rows)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_extraction, op3_jaccard_join, op4_suffix_dedup, op5_quality, op6_packing, op7_records, op8_token_counts, op9_decontamination, op10_pii)
+    f.__name__: f for f in (op1_sharding, op2_extraction, op3_jaccard_join, op4_suffix_dedup, op5_quality, op6_packing, op7_records, op8_token_counts, op9_decontamination, op10_pii, op11_exact_dedup, op12_conversation_repair, op13_resampling)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -88,4 +101,33 @@ ORACLE_SQL: dict[str, str] = {
         SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
         FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
     """,
+    "op11_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(text) AS text_sha256
+        FROM t WINDOW w AS (PARTITION BY text)
+    """,
+    "op13_resampling": r"""
+        WITH bits AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS crc
+        ), words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), aims AS (
+            SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS f FROM benchmark
+        ), own AS (SELECT doc_id, unnest(w) AS f FROM words
+        ), distinct_words AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM own UNION SELECT f FROM aims)
+        ), hashed AS (
+            SELECT f, xor(list_reduce(list_transform(range(1, len(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+            FROM distinct_words, bits
+        ), s AS (SELECT bucket, count(*) AS s FROM own JOIN hashed USING (f) GROUP BY bucket
+        ), t AS (SELECT bucket, count(*) AS t FROM aims JOIN hashed USING (f) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM own) + 10000) / ((s + 1)::DOUBLE * ((SELECT count(*) FROM aims) + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)
+        ), means AS (SELECT doc_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM own JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY doc_id
+        ), scored AS (
+            SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM words LEFT JOIN means USING (doc_id)
+        ), able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, r::BIGINT AS rank FROM scored LEFT JOIN (SELECT doc_id, r FROM able WHERE r <= 10 * n // 100) USING (doc_id)
+    """,
 }
