@@ -19,6 +19,9 @@ from tessera.operators import asof_join, interval_join, range_join, salted_join,
 from tessera.sources import TABLES, load, stream
 from tessera.streaming import events as ev
 
+from .mechanisms import IN_ORDER, LATE, MECHANISMS
+from .registry import Registry
+
 D = "DECIMAL(18,4)"
 PORTABLE: dict[str, str] = {
     "filter_between_in": "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM {lineitem} WHERE l_quantity BETWEEN 10 AND 20 AND l_returnflag IN ('A', 'R')",
@@ -93,15 +96,8 @@ def for_duckdb(text: str) -> str:
     return text.replace("startswith(", "starts_with(")
 
 
-PAIRED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-
-
-def paired(sql: str | None):
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        PAIRED[f.__name__] = f, sql
-        return f
-
-    return add
+PAIRED = Registry()
+paired = PAIRED.paired
 
 
 @paired(f"""SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS {D})) AS DOUBLE) AS sum_qty, CAST(sum(CAST(l_extendedprice AS {D})) AS DOUBLE) AS sum_base_price,
@@ -129,7 +125,7 @@ def join_interval(spark, base):
 @paired("SELECT p.p_partkey, s.s_suppkey FROM part p JOIN supplier s ON p.p_retailprice BETWEEN s.s_acctbal AND s.s_acctbal + 25")
 def join_range(spark, base):
     ranges = load(spark, base, "supplier").select("s_suppkey", F.col("s_acctbal").alias("low"), (F.col("s_acctbal") + 25).alias("high"))
-    return range_join(load(spark, base, "part"), ranges, "p_retailprice", "low", "high", 25.0).select("p_partkey", "s_suppkey")
+    return range_join(load(spark, base, "part"), ranges, "p_retailprice", "low", "high").select("p_partkey", "s_suppkey")
 
 
 @paired("SELECT l_orderkey, l_linenumber, l_partkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey")
@@ -264,31 +260,33 @@ def stream_session(spark, base):
     return ev.run_to_table(ev.session_counts(event_stream(spark, base), "30 minutes")).withColumn("session_start", F.col("session_start").cast("timestamp_ntz"))
 
 
-#: Micro-batches in the order of time, and ones of which the last brings rows that are late.
-IN_ORDER = ["ts < timestamp_ntz '2024-01-10'", "ts >= timestamp_ntz '2024-01-10' AND ts < timestamp_ntz '2024-01-20'", "ts >= timestamp_ntz '2024-01-20'"]
-LATE = ["ts < timestamp_ntz '2024-01-10' AND event_id % 50 <> 0", IN_ORDER[1], f"{IN_ORDER[2]} OR ts < timestamp_ntz '2024-01-10' AND event_id % 50 = 0"]
-
-
 @paired("SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY user_id")
 def stream_running_totals(spark, base):
-    out = ev.run_to_table(ev.running_totals(ev.replayed(load(spark, base, "events"), IN_ORDER)), "update", ("user_id",))
+    landing = ev.Landing(load(spark, base, "events"))
+    out = ev.run_to_table(ev.running_totals(landing.stream), "update", ("user_id",), [landing], IN_ORDER)
     return out.select("user_id", "n", F.round("total", 4).alias("total"))
 
 
 @paired("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type")
 def stream_transform_with_state(spark, base):
+    landing = ev.Landing(load(spark, base, "events"))
     with ev.rocksdb_state(spark):
-        return ev.run_to_table(ev.kind_counts(ev.replayed(load(spark, base, "events"), IN_ORDER)), "update", ("user_id", "event_type"))
+        return ev.run_to_table(ev.kind_counts(landing.stream), "update", ("user_id", "event_type"), [landing], IN_ORDER)
 
 
-@paired("SELECT DISTINCT user_id, event_type FROM events")
+@paired("""WITH e AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 0 WHEN ts < TIMESTAMP '2024-01-20' THEN 1 ELSE 2 END AS run FROM events)
+    SELECT user_id, event_type, count(DISTINCT run) AS n FROM e GROUP BY user_id, event_type""")
 def stream_deduplicated(spark, base):
-    return ev.run_to_table(ev.deduplicated(event_stream(spark, base), ["user_id", "event_type"]), "append").select("user_id", "event_type")
+    """How often a user and type was new: once in each of three runs that are days apart, as a key is forgotten when the watermark has passed it."""
+    landing = ev.Landing(load(spark, base, "events"))
+    out = ev.run_to_table(ev.deduplicated(landing.stream, ["user_id", "event_type"]), "append", landings=[landing], arrivals=IN_ORDER)
+    return out.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @paired("SELECT DISTINCT event_type FROM events")
 def stream_distinct(spark, base):
-    return ev.run_to_table(ev.replayed(load(spark, base, "events"), IN_ORDER).select("event_type").dropDuplicates(), "append")
+    landing = ev.Landing(load(spark, base, "events"))
+    return ev.run_to_table(landing.stream.select("event_type").dropDuplicates(), "append", landings=[landing], arrivals=IN_ORDER)
 
 
 @paired("""WITH e AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS b, ts < TIMESTAMP '2024-01-10' AND event_id % 50 = 0 AS late FROM events),
@@ -296,29 +294,33 @@ def stream_distinct(spark, base):
     SELECT b AS window_start, count(*) AS n FROM e, w WHERE NOT (late AND b + INTERVAL 1 HOUR <= mark) AND b + INTERVAL 1 HOUR <= last GROUP BY b""")
 def stream_append_late(spark, base):
     """Windows that the watermark has closed; rows that come after their window was closed are dropped."""
-    rows = ev.replayed(load(spark, base, "events"), LATE).groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    return ev.run_to_table(rows.select(F.col("w.start").alias("window_start"), "n"), "append").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    landing = ev.Landing(load(spark, base, "events"))
+    rows = landing.stream.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return ev.run_to_table(rows.select(F.col("w.start").alias("window_start"), "n"), "append", landings=[landing], arrivals=LATE).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @paired("SELECT event_id, user_id, c_mktsegment FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase'")
 def stream_static_join(spark, base):
-    rows = ev.replayed(load(spark, base, "events"), IN_ORDER).filter("event_type = 'purchase'")
+    landing = ev.Landing(load(spark, base, "events"))
+    rows = landing.stream.filter("event_type = 'purchase'")
     customer = load(spark, base, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
-    return ev.run_to_table(rows.join(customer, "user_id").select("event_id", "user_id", "c_mktsegment"), "append")
+    return ev.run_to_table(rows.join(customer, "user_id").select("event_id", "user_id", "c_mktsegment"), "append", landings=[landing], arrivals=IN_ORDER)
 
 
 @paired("SELECT a.event_id AS click, b.event_id AS purchase FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'purchase' AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 6 HOUR")
 def stream_stream_join(spark, base):
     events = load(spark, base, "events")
-    left, right = (ev.replayed(events.filter(f"event_type = '{kind}'").select("event_id", "user_id", "ts"), IN_ORDER).alias(k) for k, kind in (("l", "click"), ("r", "purchase")))
-    return ev.run_to_table(ev.interval_pairs(left, right, "user_id", "l.ts", "r.ts", "6 hours").select(F.col("l.event_id").alias("click"), F.col("r.event_id").alias("purchase")), "append")
+    sides = [ev.Landing(events.filter(f"event_type = '{kind}'").select("event_id", "user_id", "ts")) for kind in ("click", "purchase")]
+    pairs = ev.interval_pairs(sides[0].stream.alias("l"), sides[1].stream.alias("r"), "user_id", "l.ts", "r.ts", "6 hours")
+    return ev.run_to_table(pairs.select(F.col("l.event_id").alias("click"), F.col("r.event_id").alias("purchase")), "append", landings=sides, arrivals=IN_ORDER)
 
 
 @paired(f"SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS {D})) AS DOUBLE) AS total FROM events GROUP BY event_type")
 def stream_upsert(spark, base):
     """Updates of each micro-batch, of which foreachBatch keeps the last for each key."""
-    rows = ev.replayed(load(spark, base, "events"), IN_ORDER).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast(D.lower())).cast("double").alias("total"))
-    return ev.run_to_table(rows, "update", ("event_type",))
+    landing = ev.Landing(load(spark, base, "events"))
+    rows = landing.stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast(D.lower())).cast("double").alias("total"))
+    return ev.run_to_table(rows, "update", ("event_type",), [landing], IN_ORDER)
 
 
 @paired("SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events")
@@ -424,5 +426,5 @@ def label_counts(spark, base):
     return load(spark, base, "labels").join(load(spark, base, "documents").select("doc_id"), "doc_id").groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: from_sql(text) for name, text in PORTABLE.items()} | {name: f for name, (f, _) in PAIRED.items()}
-ORACLE_SQL: dict[str, str] = {name: for_duckdb(text) for name, text in PORTABLE.items()} | {name: sql for name, (_, sql) in PAIRED.items() if sql}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: from_sql(text) for name, text in PORTABLE.items()} | {name: f for name, (f, _) in (PAIRED | MECHANISMS).items()}
+ORACLE_SQL: dict[str, str] = {name: for_duckdb(text) for name, text in PORTABLE.items()} | {name: sql for name, (_, sql) in (PAIRED | MECHANISMS).items() if sql}

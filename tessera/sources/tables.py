@@ -39,6 +39,17 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any store Spark reads, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def free(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, case aside."""
     taken = {c.lower() for c in df.columns}
@@ -86,3 +97,9 @@ def stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str
     reader = spark.readStream.format(fmt).schema(schema)
     reader = reader.option("pathGlobFilter", only) if only else reader
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).load(path)
+
+
+def rate_stream(spark: SparkSession, rows_per_batch: int, partitions: int | None = None, start: int = 0) -> DataFrame:
+    """timestamp and value 0, 1, 2 ... in micro-batches of a fixed number of rows, dealt over partitions; the same rows if a batch is run again. start: milliseconds of the first."""
+    reader = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).option("startTimestamp", start)
+    return (reader.option("numPartitions", partitions) if partitions else reader).load()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import bisect
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tessera.sources import scratch, stream
+from tessera.shipping import ship
+from tessera.sources import deleted, scratch, stream
 
 
 def event_time(df: DataFrame, ts: str = "ts", late: str = "10 minutes") -> DataFrame:
@@ -75,19 +77,27 @@ class KindCounts(StatefulProcessor):
 
 def kind_counts(df: DataFrame, key: str = "user_id", kind: str = "event_type") -> DataFrame:
     """transformWithState: the count so far of each key and kind; runs within rocksdb_state."""
+    ship(df.sparkSession)
     return df.groupBy(key).transformWithStateInPandas(KindCounts(key, kind), f"{key} long, {kind} string, n long", "Update", "None")
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started within keep their state in RocksDB, outside the executors' heap."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def rocksdb_state(spark: SparkSession, idle_batches: bool = True) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB, outside the executors' heap.
+
+    idle_batches: whether batches without rows run, as timers of event time
+    need. State that expires by the clock would have them run for ever, so a
+    run to the end of what is there must go without.
+    """
+    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower()}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def interval_pairs(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, after: str) -> DataFrame:
@@ -96,30 +106,159 @@ def interval_pairs(left: DataFrame, right: DataFrame, key: str, left_ts: str, ri
     return left.join(right, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col(right_ts) > F.col(left_ts)) & (F.col(right_ts) <= later))
 
 
-def replayed(df: DataFrame, batches: list[str], late: str = "10 minutes", ts: str = "ts") -> DataFrame:
-    """A stream with a watermark that brings the rows in a micro-batch for each condition, in their order."""
-    spark, to = df.sparkSession, scratch(df.sparkSession, "replay")
-    for k, rows in enumerate(batches):
-        df.filter(rows).coalesce(1).write.mode("append").parquet(to)
-    return event_time(stream(spark, to, df.schema, files_per_trigger=1), ts, late)
+def interval_pairs_or_none(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, after: str) -> DataFrame:
+    """As interval_pairs, and each left row without a partner once, with nulls, when the watermark says that none can come any more.
+
+    Both sides need watermarks: they bound the state, and a left row leaves it
+    when the watermark has passed its interval.
+    """
+    later = F.col(left_ts) + F.expr(f"interval {after}")
+    return left.join(right, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col(right_ts) > F.col(left_ts)) & (F.col(right_ts) <= later), "leftOuter")
+
 
+class NoFollowUp(StatefulProcessor):
+    """Event-time timers: first events that no second event of the key follows within some time.
+
+    State of a key: first events that still wait, and times of second events
+    that first events which come late may still need. A timer at the end of a
+    first event's time tells that nothing came; one at the time of a second
+    event forgets it, as rows before the watermark are dropped. So state is
+    bounded by what happens within the time and the watermark's delay.
+    """
+
+    def __init__(self, key: str, kind: str, first: str, second: str, ts: str, row_id: str, within_ms: int):
+        self.key, self.kind, self.first, self.second, self.ts, self.row_id, self.within_ms = key, kind, first, second, ts, row_id, within_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "id bigint", "at bigint")
+        self.seconds = handle.getMapState("seconds", "at bigint", "n int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        firsts, seconds = {}, set()
+        for b in rows:
+            at = b[self.ts].to_numpy("datetime64[us]").astype("int64")
+            for t, kind, i in zip(at.tolist(), b[self.kind], b[self.row_id].tolist(), strict=True):
+                if kind == self.first:
+                    firsts[i] = t
+                elif kind == self.second:
+                    seconds.add(t)
+        span = self.within_ms * 1000
+        known = sorted(seconds | {k[0] for k in self.seconds.keys()})
+        followed = lambda t: (j := bisect.bisect_right(known, t)) < len(known) and known[j] <= t + span
+        for (i,), (t,) in list(self.waiting.iterator()):
+            if followed(t):
+                self.waiting.removeKey((i,))
+        for i, t in firsts.items():
+            if not followed(t):
+                self.waiting.updateValue((i,), (t,))
+                self.handle.registerTimer((t + span) // 1000 + 1)
+        for t in seconds:
+            self.seconds.updateValue((t,), (1,))
+            self.handle.registerTimer(t // 1000 + 1)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        done = [(i, t) for (i,), (t,) in list(self.waiting.iterator()) if t + self.within_ms * 1000 < now]
+        for i, _ in done:
+            self.waiting.removeKey((i,))
+        for (t,) in [k for k in self.seconds.keys() if k[0] < now]:
+            self.seconds.removeKey((t,))
+        if done:
+            yield pd.DataFrame({self.key: [key[0]] * len(done), self.row_id: [i for i, _ in done], self.ts: pd.to_datetime([t for _, t in done], unit="us", utc=True)})
+
+    def close(self) -> None:
+        pass
+
+
+def not_followed(df: DataFrame, first: str, second: str, within: str, key: str = "user_id", kind: str = "event_type", ts: str = "ts", row_id: str = "event_id") -> DataFrame:
+    """key, row_id and ts of events of kind `first` after which no event of kind `second` of the same key came in (ts, ts + within].
+
+    df: a stream with a watermark; a row comes out once the watermark has
+    passed its time. Runs within rocksdb_state; time zones play no part.
+    """
+    ship(df.sparkSession)
+    micros = df.sparkSession.sql(f"SELECT timestampdiff(MICROSECOND, timestamp_ntz'2001-01-01', timestamp_ntz'2001-01-01' + INTERVAL {within})").first()[0]
+    rows = df.filter(F.col(kind).isin(first, second)).select(key, kind, ts, row_id)
+    return rows.groupBy(key).transformWithStateInPandas(NoFollowUp(key, kind, first, second, ts, row_id, micros // 1000), f"{key} long, {row_id} long, {ts} timestamp", "Append", "EventTime")
 
-def run_to_table(df: DataFrame, mode: str = "complete", keys: tuple[str, ...] = ()) -> DataFrame:
+
+class FirstSeen(StatefulProcessor):
+    """Value state that expires: the first row of a key, and again if the key was not seen for so long by the clock."""
+
+    def __init__(self, key: str, row_id: str, ttl_ms: int):
+        self.key, self.row_id, self.ttl_ms = key, row_id, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "id bigint", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        least = min(int(b[self.row_id].min()) for b in rows)
+        if not self.seen.exists():
+            yield pd.DataFrame({self.key: [key[0]], self.row_id: [least]})
+            self.seen.update((least,))
+        else:
+            self.seen.update(self.seen.get())  # seen again: its time starts anew
+
+    def close(self) -> None:
+        pass
+
+
+def first_seen(df: DataFrame, ttl: str, key: str = "user_id", row_id: str = "event_id") -> DataFrame:
+    """key and row_id of the first row of each key; state of a key goes after ttl without rows, so it is bounded by the keys of that time. Runs within rocksdb_state, without idle batches if it is to end."""
+    ship(df.sparkSession)
+    micros = df.sparkSession.sql(f"SELECT timestampdiff(MICROSECOND, timestamp_ntz'2001-01-01', timestamp_ntz'2001-01-01' + INTERVAL {ttl})").first()[0]
+    return df.select(key, row_id).groupBy(key).transformWithStateInPandas(FirstSeen(key, row_id, micros // 1000), f"{key} long, {row_id} long", "Append", "ProcessingTime")
+
+
+class Landing:
+    """A folder where rows arrive in files, and the stream that reads it; arrivals are written by as many tasks as their rows come in."""
+
+    def __init__(self, df: DataFrame, late: str = "10 minutes", ts: str = "ts"):
+        self.df, self.path = df, scratch(df.sparkSession, "landing")
+        df.limit(0).write.parquet(self.path)
+        self.stream = event_time(stream(df.sparkSession, self.path, df.schema), ts, late)
+
+    def land(self, rows: str | None = None) -> None:
+        """Add the rows that meet a condition, as a batch of files."""
+        (self.df.filter(rows) if rows else self.df).write.mode("append").parquet(self.path)
+
+    def close(self) -> None:
+        """Delete the folder."""
+        deleted(self.df.sparkSession, self.path)
+
+
+def run_to_table(df: DataFrame, mode: str = "complete", keys: tuple[str, ...] = (), landings: Sequence[Landing] = (), arrivals: Sequence[str] = (), put: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
     """Run a stream over all that is there now, and its result, from files in the shared folder.
 
-    Each micro-batch writes a folder of its own, so one that is run again
-    replaces what it wrote. complete: the last batch's rows; append: the rows
-    of all; update: for each of keys the row that came last.
+    With landings, the stream runs once after each of the arrivals (conditions
+    on the rows of each landing), from where it stopped, as a job that is
+    started each day would: state and watermark go on, and each run reads its
+    files in parallel. Each micro-batch writes a folder of its own, so one
+    that is run again replaces what it wrote. complete: the last batch's rows;
+    append: the rows of all; update: for each of keys the row that came last.
+    put: what is done with a batch instead; then no rows are returned. State
+    and landings are deleted at the end.
     """
     spark, to = df.sparkSession, scratch(df.sparkSession, "stream")
     seen: list[int] = []
 
-    def put(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{to}/rows/batch={batch}")
-        seen.append(batch)
-
-    query = df.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", f"{to}/state").trigger(availableNow=True).start()
-    query.awaitTermination()
+    def stored(rows: DataFrame, batch: int) -> None:
+        if put:
+            put(rows, batch)
+        else:
+            rows.write.mode("overwrite").parquet(f"{to}/rows/batch={batch}")
+            seen.append(batch)
+
+    for rows in arrivals or [None]:
+        for landing in landings:
+            landing.land(rows)
+        query = df.writeStream.foreachBatch(stored).outputMode(mode).option("checkpointLocation", f"{to}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+    deleted(spark, f"{to}/state")
+    for landing in landings:
+        landing.close()
     if not seen:
         return spark.createDataFrame([], df.schema)
     out = spark.read.parquet(f"{to}/rows")
