@@ -3,8 +3,8 @@
 The page is parsed into a tree without menus, headers, footers, sidebars,
 adverts, forms, scripts and comments. Each block of text passes points for its
 length and commas to its ancestors, half as many a level up, discounted by
-link density. The best container is taken together with those of its siblings
-that score well or read like paragraphs.
+link density. The best container is taken together with what reads like text
+beside it and, unless it is or lies in an article, beside its ancestors.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import deque
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,11 +53,11 @@ NOT_LETTERS = re.compile(r"[^a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "attrs", "score", "length", "links", "commas")
+    __slots__ = ("tag", "parent", "items", "attrs", "score", "points", "length", "links", "commas")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str = ""):
         self.tag, self.parent, self.items, self.attrs = tag, parent, [], attrs
-        self.score, self.length, self.links, self.commas = 0.0, 0, 0, 0
+        self.score, self.points, self.length, self.links, self.commas = 0.0, 0.0, 0, 0, 0
 
     def marks(self) -> tuple[str, str, bool]:
         if not self.attrs:
@@ -232,7 +233,7 @@ def prune(root: Node) -> None:
 
 
 def score(root: Node) -> list[Node]:
-    """Set lengths, link lengths and scores; the containers in page order."""
+    """Set lengths, link lengths, scores and the points of all blocks within; the containers in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -263,10 +264,12 @@ def score(root: Node) -> list[Node]:
         n, commas = own[id(node)]
         density = node.links / node.length if node.length else 0.0
         points = (1 + commas + min(3, n / 100)) * (1 - density) if node.tag in BLOCKS and n >= MIN_BLOCK else 0.0
+        node.points += points
         if node.parent is None:
             node.score += points
         else:
             node.parent.score += points + node.score / 2
+            node.parent.points += node.points
     containers = [node for node in order if node.tag in BLOCKS and node.length]
     for node in containers:
         bonus = 25 if node.tag in ("article", "main") else 0
@@ -277,24 +280,59 @@ def score(root: Node) -> list[Node]:
     return containers
 
 
-def best(root: Node) -> list[Node]:
-    """The best container and the siblings to keep, in page order."""
+def reads_like_text(x: Node, beside: Node) -> bool:
+    """Whether a block beside the container, or beside one of its ancestors, is part of the text; beside an article only what is much like it or a paragraph."""
+    density = x.links / x.length if x.length else 1.0
+    if x.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") and density < SIBLING_DENSITY:
+        return True
+    if beside.tag in ("article", "main"):
+        return x.tag in BLOCKS and x.score >= max(10.0, SIBLING_SHARE * beside.score)
+    return x.points > 0 and density < SIBLING_DENSITY
+
+
+def beside_of(node: Node) -> tuple[list, list]:
+    """What is to be kept of the items before and after a node in its parent: blocks that read like text, and runs of text and inline elements that are no links."""
+    sides: tuple[list, list] = ([], [])
+    run: list = []
+    side = 0
+
+    def end() -> None:
+        length = sum(len("".join(x.split())) if isinstance(x, str) else x.length for x in run)
+        links = sum(0 if isinstance(x, str) else x.links for x in run)
+        if length and links / length < SIBLING_DENSITY and node.tag not in ("article", "main"):
+            sides[side].extend(run)
+        run.clear()
+
+    for x in node.parent.items:
+        if isinstance(x, str) or x.tag not in BLOCKS:
+            run.append(x)
+            continue
+        end()
+        if x is node:
+            side = 1
+        elif reads_like_text(x, node):
+            sides[side].append(x)
+    end()
+    return sides
+
+
+def best(root: Node) -> list:
+    """The best container and what is kept beside it and its ancestors, in page order."""
     containers = [c for c in score(root) if c is root or c.tag not in ("p", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "ul", "ol", "tr", "dt", "dd")]
     if not containers:
         return [root]
     top = max(containers, key=lambda c: c.score)
     if top.score <= 0 or top.parent is None:
         return [root]
-    out = []
-    for x in top.parent.items:
-        if isinstance(x, str):
-            continue
-        density = x.links / x.length if x.length else 0
-        well = x.score >= max(10.0, SIBLING_SHARE * top.score) and x.tag in BLOCKS
-        prose = x.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") and x.length and density < SIBLING_DENSITY
-        if x is top or well or prose:
-            out.append(x)
-    return out
+    out, node = deque([top]), top
+    while node.parent is not None:
+        before, after = beside_of(node)
+        out.extendleft(reversed(before))
+        out.extend(after)
+        if node.tag in ("article", "main"):
+            break
+        node = node.parent
+    return list(out)
 
 
 def blocks(nodes: list[Node]) -> list[str]:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import common, decontamination, extraction, jaccard_join, kernel, packing, pii, quality, records, sharding, suffix_dedup, token_counts
+from tessera.llm import components as components_module
 from tessera.llm.queries import tokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -139,6 +140,41 @@ def test_extraction_keeps_text_of_a_page_in_one_form():
     assert extraction.main_text(f"<body><div>{STORY}{form}</div></body>") == STORY_TEXT
 
 
+P = [f"Sentence number {k} of a text, which has some words, commas, and no markup." for k in range(5)]
+NOTICES = '<nav>Home <a href="/">Start</a></nav><div class="cookie-banner">We use cookies, as everybody does, to know who reads this.</div>'
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<div><p>{0}</p></div><div><p>{1}</p></div><div><p>{2}</p></div><div><p>{3}</p></div><div><p>{4}</p></div>",
+        "<div><p>{0}</p><p>{1}</p><p>{2}</p></div><div><p>{3}</p></div><div><p>{4}</p></div>",
+        "<div><p>{0}</p></div><div><p>{1}</p></div><div><p>{2}</p><p>{3}</p><p>{4}</p></div>",
+        "{0}<div><p>{1}</p><p>{2}</p><p>{3}</p></div>{4}",
+        "<div><div><p>{0}</p></div></div><div><div><p>{1}</p><p>{2}</p></div></div><div><div><p>{3}</p></div><div>{4}</div></div>",
+        "<div>{0}</div><div>{1}</div><div>{2}</div><div>{3}</div><div>{4}</div>",
+        "<div>{0}<br>{1}</div><div>{2}<br><br>{3}</div>{4}",
+        "<section><h2>{0}</h2><p>{1}</p></section><section><p>{2}</p></section><section><p>{3}</p><p>{4}</p></section>",
+        "<table><tr><td><p>{0}</p><p>{1}</p></td></tr><tr><td>{2}</td></tr></table><div>{3}</div><div>{4}</div>",
+        "<ul><li>{0}</li><li>{1}</li></ul><div><p>{2}</p><p>{3}</p></div><p>{4}</p>",
+        "<div><p>{0}</p><blockquote>{1}</blockquote></div><div><ol><li>{2}</li><li>{3}</li></ol></div><pre>{4}</pre>",
+        '<div id="a"><div><div><p>{0}</p></div></div></div><div id="b"><p>{1}</p></div><div id="c"><div><p>{2}</p><p>{3}</p></div></div><div>{4}</div>',
+        "<b>{0}</b> {1}<div><p>{2}</p></div><i>{3}</i><div>{4}</div>",
+        "<center>{0}</center><div><div>{1}</div>{2}</div><center><p>{3}</p></center><p>{4}</p>",
+        "<div><p>{0}</p></div><hr><div><p>{1}</p></div><hr><div><p>{2}</p><p>{3}</p></div><hr>{4}",
+        "<div><span>{0}</span></div><div><span>{1}</span> <em>{2}</em></div><div><p>{3}</p></div><div><p>{4}</p></div>",
+        "<main><div><p>{0}</p></div><div><p>{1}</p></div>{2}<div><div><p>{3}</p></div></div><p>{4}</p></main>",
+        "<article><div><p>{0}</p></div><div><p>{1}</p></div>{2}<div><div><p>{3}</p></div></div><p>{4}</p></article>",
+        "<dl><dt>{0}</dt><dd>{1}</dd></dl><div><p>{2}</p><p>{3}</p></div><div>{4}</div>",
+        "<div><p>{0}<p>{1}</div><div><p>{2}<p>{3}</div><div><p>{4}",
+    ],
+)
+def test_extraction_keeps_text_of_pages_of_any_form(body):
+    """All text of pages with and without an article, in page order, and none of the menus and notices."""
+    page = "<html><body>" + NOTICES + body.format(*P) + "<footer>Imprint, terms and so on</footer></body></html>"
+    assert extraction.main_text(page) == " ".join(P)
+
+
 @pytest.mark.parametrize("page", ["<div>" * 20_000 + "text, and more text than a block must have", "<span>" * 20_000 + "<hr></b>" * 20_000, "<div><p>one, two, three and four, five and six" * 20_000, "<li>" * 20_000 + "<td>" * 20_000])
 def test_extraction_work_grows_with_the_page(page):
     import time
@@ -148,6 +184,19 @@ def test_extraction_work_grows_with_the_page(page):
     assert time.time() - began < 10
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    """A path in chance order, a star, a clique and odd edges; rounds do not grow with the path."""
+    rnd = np.random.default_rng(4)
+    path = rnd.permutation(1000).tolist()
+    edges = [*zip(path, path[1:], strict=False), *[(5000, 2000 + k) for k in range(50)], *[(a, b) for a in range(3000, 3008) for b in range(3000, 3008)], (7, None), (9000, 9000)]
+    names = []
+    monkeypatch.setattr(components_module, "written", lambda df, name: names.append(name) or common.written(df, name))
+    got = dict(map(tuple, components_module.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == dict.fromkeys(range(1000), 0) | dict.fromkeys([5000, *range(2000, 2050)], 2000) | dict.fromkeys(range(3000, 3008), 3000)
+    assert names.count("links") - 1 <= 12 and len(names) <= 60
+    assert components_module.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_extraction_drops_long_comments():
     comments = f'<div id="comments"><div class="comment">{STORY * 5}</div></div>'
     assert extraction.main_text(f"<body><div>{STORY}{comments}</div></body>") == STORY_TEXT
