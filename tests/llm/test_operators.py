@@ -491,6 +491,66 @@ def test_decontamination_finds_all_of_three_substitutions_and_short_items(spark)
     assert got == {(i, 1) for i in range(len(places))} | {(1000, 2), (1002, 3)}
 
 
+def contaminated_by_force(rows, items, window=13, agree=0.75):
+    """Every diagonal of every document and item; matched and compared of the best window."""
+    split = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+    out = {}
+    for d, text in rows:
+        for k, item in items:
+            own, words = split(text), split(item)
+            width = min(window, len(words))
+            if d is None or k is None or not width:
+                continue
+            least = -(-width * 3 // 4) if width >= decontamination.SPAN else width
+            for shift in range(-len(words), len(own)):
+                same = [0 <= i + shift < len(own) and own[i + shift] == w for i, w in enumerate(words)]
+                best = max(sum(same[i : i + width]) for i in range(len(words) - width + 1))
+                if best >= least:
+                    out[d, k] = max(out.get((d, k), (0, 0)), (best, width))
+    return {(*pair, *found) for pair, found in out.items()}
+
+
+def test_decontamination_against_every_diagonal(spark):
+    rng = np.random.default_rng(7)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 5, n))
+    items = [(k, word(int(n))) for k, n in enumerate(rng.integers(1, 40, 60))]
+    items += [(60 + k, f"shared words of every question in this set {word(9)}") for k in range(20)] + [(3, word(12)), (None, word(20)), (90, None), (91, "")]
+    rows = [(d, word(int(n))) for d, n in enumerate(rng.integers(0, 60, 60))]
+    rows += [(100, word(700)), (101, "x " * 124 + items[5][1] + " y"), (101, "x " * 300 + items[62][1]), (102, items[62][1].replace("w1", "q")), (103, "shared words of every question in this set"), (None, items[5][1]), (104, None)]
+    rows += [(105, word(140))] * 50
+    for i, (_, item) in enumerate(items[:60]):
+        words = item.split()
+        for j in rng.integers(0, len(words), 1 + len(words) // 5):
+            words[j] = "other"
+        rows.append((200 + i, f"start {' '.join(words)} end"))
+    got = decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = [(r.doc_id, r.item_id, r.matched, r.compared) for r in got.collect()]
+    assert len(got) == len(set(got)) and set(got) == contaminated_by_force(rows, items)
+
+
+def test_decontamination_finds_every_placement_of_substitutions(spark):
+    from itertools import combinations
+
+    items, rows = [], []
+    for n in range(7, 14):
+        words = [f"item{n}word{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for p in combinations(range(n), n - -(-n * 3 // 4)):
+            rows.append((1000 * n + len(rows), " ".join("other" if k in p else w for k, w in enumerate(words))))
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(d, d // 1000) for d, _ in rows}
+    assert [len(decontamination.missed(n, n - -(-n * 3 // 4))) for n in range(7, 14)] == [0, 5, 1, 0, 0, 3, 0]
+
+
+def test_decontamination_with_other_columns_nulls_and_bad_options(spark):
+    item = " ".join(f"bench{i}" for i in range(20))
+    rows = spark.createDataFrame([(None, None, 1, 2), (1, item, 3, 4)], "doc_id long, text string, block int, h int")
+    items = spark.createDataFrame([(1, item, 1)], "item_id long, text string, spot int")
+    assert [tuple(r) for r in decontamination.contaminated(rows, items).collect()] == [(1, 1, 13, 13)]
+    with pytest.raises(ValueError):
+        decontamination.contaminated(rows, items, window=5)
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
