@@ -7,15 +7,17 @@ The others pair a DataFrame plan with SQL.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.functions import cosine, exact_avg, exact_sum, half_up, money, weekday
-from tessera.operators import asof_join, interval_join, range_join, salted_join, sessions, top_per_group
+from tessera.operators import asof_join, chunked_map, interval_join, range_join, salted_join, sessions, top_per_group
 from tessera.sources import TABLES, load, stream
 from tessera.streaming import events as ev
 
@@ -64,7 +66,7 @@ PORTABLE: dict[str, str] = {
     "subquery_scalar": "SELECT c_custkey FROM {customer} WHERE c_acctbal > (SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(18,4))) AS DOUBLE) / count(*) FROM {customer})",
     "subquery_correlated": "SELECT p_partkey FROM {part} p WHERE p_retailprice >= (SELECT max(q.p_retailprice) FROM {part} q WHERE q.p_brand = p.p_brand)",
     "subquery_in": "SELECT s_suppkey, s_name FROM {supplier} WHERE s_nationkey IN (SELECT n_nationkey FROM {nation} WHERE n_regionkey = 1)",
-    "cte_recursive": "WITH RECURSIVE t(n, f) AS (SELECT 1, CAST(1 AS BIGINT) UNION ALL SELECT n + 1, f * (n + 1) FROM t WHERE n < 15) SELECT n, f FROM t",
+    "cte_recursive": "WITH RECURSIVE span(q, last_q) AS (SELECT min(CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS BIGINT)), max(CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS BIGINT)) FROM {orders} UNION ALL SELECT q + 1, last_q FROM span WHERE q < last_q), per AS (SELECT CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS BIGINT) AS q, count(*) AS n FROM {orders} WHERE o_orderpriority = '1-URGENT' AND month(o_orderdate) <> 2 GROUP BY 1) SELECT span.q, coalesce(per.n, 0) AS n FROM span LEFT JOIN per ON span.q = per.q WHERE span.q IS NOT NULL",
     "cte_chain": "WITH big AS (SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey), least AS (SELECT min(n) AS least FROM (SELECT n FROM big ORDER BY n DESC LIMIT 20) t), ranked AS (SELECT o_custkey, n, CAST(rank() OVER (ORDER BY n DESC) AS BIGINT) AS r FROM big JOIN least ON n >= least) SELECT o_custkey, n, r FROM ranked WHERE r <= 20",
     "string_basic": "SELECT p_partkey, upper(p_name) AS up, CAST(length(p_name) AS BIGINT) AS n, substring(p_name, 2, 3) AS sub, replace(p_name, 'a', '_') AS rep, lpad(p_brand, 12, '*') AS padded, reverse(p_type) AS rev, trim(concat(' ', p_name, ' ')) AS trimmed, split_part(p_brand, '#', 2) AS part2 FROM {part}",
     "string_search": "SELECT c_custkey, CAST(levenshtein(c_mktsegment, 'BUILDING') AS BIGINT) AS d, regexp_extract(c_name, '([0-9]+)', 1) AS digits, starts_with(c_name, 'C') AS st FROM {customer}".replace("starts_with(", "startswith("),
@@ -72,9 +74,9 @@ PORTABLE: dict[str, str] = {
     "date_parts": "SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS y, CAST(quarter(o_orderdate) AS BIGINT) AS q, CAST(month(o_orderdate) AS BIGINT) AS m, CAST(day(o_orderdate) AS BIGINT) AS d FROM {orders}",
     "math_basic": "SELECT l_orderkey, l_linenumber, l_partkey, abs(l_discount - 0.05) AS a, CAST(floor(l_extendedprice) AS BIGINT) AS fl, CAST(ceil(l_extendedprice) AS BIGINT) AS ce, sqrt(l_quantity) AS sq, CAST(sign(l_tax - 0.04) AS BIGINT) AS sg FROM {lineitem}",
     "null_functions": "SELECT event_id, coalesce(nullif(event_type, 'click'), 'none') AS t, greatest(value, 50.0) AS g, least(value, 50.0) AS l FROM {events}",
-    "null_semantics": "SELECT k, v, v IS NULL AS missing, v = 1 AS eq, v IS DISTINCT FROM 1 AS diff FROM (VALUES (1, 1), (2, NULL), (3, 2)) AS t(k, v)",
+    "null_semantics": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, v IS NULL AS missing, v = 1 AS eq, v IS DISTINCT FROM 1 AS diff, v NOT IN (1, CAST(NULL AS INT)) AS not_in, v > 2 OR l_quantity > 25 AS or_true, v > 2 AND l_quantity > 25 AS and_false FROM (SELECT *, NULLIF(l_linenumber, 2) AS v FROM {lineitem})",
     "dedup_exact": "SELECT text, min(doc_id) AS doc_id, count(*) AS n FROM {documents} GROUP BY text",
-    "values_inline": "SELECT a, b FROM (VALUES (1, 'x'), (2, 'y'), (3, NULL)) AS t(a, b)",
+    "values_inline": "SELECT o.o_orderkey, t.a, t.b FROM {orders} o LEFT JOIN (VALUES ('1-URGENT', 1, 'now'), ('2-HIGH', 2, 'soon'), ('5-LOW', 5, NULL)) AS t(p, a, b) ON o.o_orderpriority = t.p",
     "revenue_by_nation": f"SELECT n.n_name, CAST(sum(CAST(l.l_extendedprice * (1 - l.l_discount) AS {D})) AS DOUBLE) AS revenue FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey JOIN {{customer}} c ON o.o_custkey = c.c_custkey JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey AND s.s_nationkey = c.c_nationkey JOIN {{nation}} n ON s.s_nationkey = n.n_nationkey JOIN {{region}} r ON n.n_regionkey = r.r_regionkey GROUP BY n.n_name",
     "shipping_priority": f"SELECT l.l_orderkey, CAST(sum(CAST(l.l_extendedprice * (1 - l.l_discount) AS {D})) AS DOUBLE) AS revenue, o.o_orderdate FROM {{customer}} c JOIN {{orders}} o ON c.c_custkey = o.o_custkey JOIN {{lineitem}} l ON l.l_orderkey = o.o_orderkey WHERE c.c_mktsegment = 'BUILDING' AND o.o_orderdate < TIMESTAMP '1998-03-15' AND l.l_shipdate > TIMESTAMP '1998-03-15' GROUP BY l.l_orderkey, o.o_orderdate ORDER BY revenue DESC, l.l_orderkey LIMIT 10",
     "forecast_revenue": f"SELECT CAST(sum(CAST(l_extendedprice * l_discount AS {D})) AS DOUBLE) AS revenue FROM {{lineitem}} WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01' AND l_discount BETWEEN 0.03 AND 0.07 AND l_quantity < 24",
@@ -335,13 +337,29 @@ def math_powers(spark, base):
 
 @paired("SELECT c_nationkey, c_custkey, c_acctbal, c_acctbal - max(c_acctbal) OVER (PARTITION BY c_nationkey) AS below FROM customer")
 def udf_apply_in_pandas(spark, base):
-    """A grouped map: a group is gathered in one task, so it is for groups of bounded size."""
+    """A grouped map in chunks: the greatest of a group comes from a partial aggregate, so no group is gathered."""
 
     def below(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.assign(below=pdf.c_acctbal - pdf.c_acctbal.max())
+        return pdf.assign(below=pdf.c_acctbal - pdf.top)
 
     rows = load(spark, base, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
-    return rows.groupBy("c_nationkey").applyInPandas(below, "c_nationkey int, c_custkey long, c_acctbal double, below double")
+    rows = rows.join(rows.groupBy("c_nationkey").agg(F.max("c_acctbal").alias("top")), "c_nationkey")
+    return chunked_map(rows, ["c_nationkey"], ["c_custkey"], below, "c_nationkey int, c_custkey long, c_acctbal double, below double")
+
+
+@paired("""SELECT event_id, event_type, round(median(value) OVER w, 6) AS middle, round(median(value) OVER w + 3 * mad(value) OVER w, 6) AS high FROM events
+    WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 8 PRECEDING)""")
+def udf_rolling_median(spark, base):
+    """Median and a band of thrice the median deviation over the last nine values of a type, which no window of Spark's gives; five types hold all rows."""
+
+    def robust(pdf: pd.DataFrame) -> pd.DataFrame:
+        over = pdf.value.rolling(9, min_periods=1)
+        spread = over.apply(lambda x: np.median(np.abs(x - np.median(x))), raw=True)
+        return pdf.assign(middle=over.median(), high=over.median() + 3 * spread)
+
+    rows = load(spark, base, "events").select("event_id", "event_type", "ts", "value")
+    out = chunked_map(rows, ["event_type"], ["ts", "event_id"], robust, "event_id long, event_type string, middle double, high double", before=8)
+    return out.select("event_id", "event_type", F.round("middle", 6).alias("middle"), F.round("high", 6).alias("high"))
 
 
 @F.pandas_udf(DoubleType())
@@ -351,13 +369,29 @@ def spread(x: pd.Series) -> float:
 
 @paired("SELECT c_nationkey, max(c_acctbal) - min(c_acctbal) AS spread FROM customer GROUP BY c_nationkey")
 def udf_grouped_aggregate(spark, base):
-    return load(spark, base, "customer").groupBy("c_nationkey").agg(spread("c_acctbal").alias("spread"))
+    """A task sends two rows for each nation, its extremes, and the grouped UDF sees these alone."""
 
+    def extremes(frames):
+        held = None
+        for f in frames:
+            f = f if held is None else pd.concat([held, f])
+            by = f.groupby("c_nationkey", dropna=False).c_acctbal
+            held = pd.concat([by.min(), by.max()]).reset_index()
+        if held is not None:
+            yield held
 
-@paired("SELECT n_nationkey, reverse(n_name) || '!' AS told FROM nation")
+    rows = load(spark, base, "customer").select("c_nationkey", "c_acctbal").mapInPandas(extremes, "c_nationkey int, c_acctbal double")
+    return rows.groupBy("c_nationkey").agg(spread("c_acctbal").alias("spread"))
+
+
+@paired("SELECT doc_id, md5(nfc_normalize(text)) AS composed FROM documents")
 def udf_python(spark, base):
-    tell = F.udf(lambda s: None if s is None else s[::-1] + "!", "string")
-    return load(spark, base, "nation").select("n_nationkey", tell("n_name").alias("told"))
+    """Canonical composition of whole texts, which Spark has no function for; Arrow carries the rows."""
+
+    def compose(s: str | None) -> str | None:
+        return None if s is None else unicodedata.normalize("NFC", s)
+
+    return load(spark, base, "documents").select("doc_id", F.md5(F.udf(compose, "string", useArrow=True)("text")).alias("composed"))
 
 
 @paired("SELECT p_partkey, p_retailprice * 2 + p_size AS score FROM part")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import asof_join, ntile, overlap_join, range_join, ranks, row_numbers, running, skew_join, sketches
+from tessera.operators import asof_join, inequality_totals, ntile, overlap_join, range_join, ranks, row_numbers, running, skew_join, sketches
 from tessera.operators.aggregates import LeastSquares, user_aggregate
 from tessera.operators.islands import islands
 from tessera.operators.series import fill_gaps
@@ -84,6 +84,15 @@ def join_skew(spark, base):
 # ranks over whole tables
 
 
+@paired("""SELECT a.o_orderkey, count(b.o_orderkey) AS n, CAST(sum(CAST(b.o_totalprice AS DECIMAL(18,4))) AS DOUBLE) AS total FROM orders a
+    LEFT JOIN orders b ON a.o_orderpriority = b.o_orderpriority AND b.o_totalprice < a.o_totalprice GROUP BY a.o_orderkey""")
+def join_theta_totals(spark, base):
+    """Number and sum of the cheaper orders of the same priority; five priorities hold all rows, and no pair is formed."""
+    orders = load(spark, base, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    out = inequality_totals(orders, orders, ["o_orderpriority"], ("o_totalprice", "o_totalprice"), "<", {"n": ("count", "o_orderkey"), "total": ("sum", F.col("o_totalprice").cast("decimal(18,4)"))})
+    return out.select("o_orderkey", "n", F.col("total").cast("double").alias("total"))
+
+
 @paired("SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS rn, ntile(7) OVER (ORDER BY o_totalprice, o_orderkey) AS tile FROM orders")
 def rank_row_numbers(spark, base):
     orders = load(spark, base, "orders").select("o_orderkey", "o_totalprice")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.operators import ntile, ranks, row_numbers, running, sketches
+from tessera.operators import chunked_map, inequality_totals, ntile, ranks, row_numbers, running, sketches
 from tessera.operators.aggregates import LeastSquares, user_aggregate
 from tessera.operators.islands import islands
 from tessera.operators.series import fill_gaps
@@ -169,3 +169,58 @@ def test_first_seen_forgets(spark):
         with rocksdb_state(spark, idle_batches=False):
             out = run_to_table(first_seen(landing.stream, ttl), "append", landings=[landing], arrivals=["event_id < 100", "event_id >= 100"])
         assert sorted(r.user_id for r in out.collect()) == sorted(list(range(5)) * times)
+
+
+@pytest.mark.parametrize("op", ["<", "<=", ">", ">="])
+@pytest.mark.parametrize("by", [["k"], []])
+def test_inequality_totals_are_those_of_a_plain_join(spark, op, by):
+    """One key has two thirds of the rows, a third tie at one place, keys and places may be null, left rows repeat."""
+    left = spark.range(240).selectExpr("id % 80 AS id", "CASE WHEN id % 3 > 0 THEN 1 WHEN id % 21 = 0 THEN NULL ELSE id % 7 END AS k", "CASE WHEN id % 3 = 1 THEN 5 WHEN id % 29 = 0 THEN NULL ELSE id % 40 END AS `_place`").repartition(5)
+    right = spark.range(200).selectExpr("CASE WHEN id % 3 > 0 THEN 1 WHEN id % 19 = 0 THEN NULL ELSE id % 8 END AS k", "CASE WHEN id % 3 = 2 THEN 5 WHEN id % 31 = 0 THEN NULL ELSE id % 50 END AS at", "CASE WHEN id % 4 > 0 THEN id - 90 END AS v")
+    got = inequality_totals(left, right, by, ("_place", "at"), op, {"n": ("count", F.lit(1)), "m": ("count", "v"), "s": ("sum", "v")})
+    assert got.columns == ["id", "k", "_place", "n", "m", "s"]
+    rows = [tuple(r) for r in right.collect()]
+    test = {"<": int.__lt__, "<=": int.__le__, ">": int.__gt__, ">=": int.__ge__}[op]
+    want = []
+    for i, k, x in left.collect():
+        v = [r[2] for r in rows if x is not None and r[1] is not None and (not by or (k is not None and r[0] == k)) and test(r[1], x)]
+        some = [e for e in v if e is not None]
+        want.append((i, k, x, len(v), len(some), sum(some) if some else None))
+    assert rows_of(got) == sorted(want, key=repr)
+    none = inequality_totals(left, right.filter("1 = 0"), by, ("_place", "at"), op, {"n": ("count", F.lit(1)), "s": ("sum", "v")})
+    assert {(r.n, r.s) for r in none.collect()} == {(0, None)} and none.count() == 240
+    assert inequality_totals(left.filter("1 = 0"), right, by, ("_place", "at"), op, {"n": ("count", "v")}).count() == 0
+
+
+def test_inequality_totals_refuse(spark):
+    df = spark.range(3)
+    for op, totals in (("=", {"n": ("count", "id")}), ("<", {"n": ("max", "id")}), ("<", {"id": ("count", "id")})):
+        with pytest.raises(ValueError):
+            inequality_totals(df, df, [], ("id", "id"), op, totals)
+
+
+@pytest.mark.parametrize("rows,before", [(1000, 7), (16, 7), (7, 7), (50, 0)])
+def test_chunked_map_is_a_grouped_map(spark, rows, before):
+    """Two thirds of the rows are of one key, some of null; sums run over the rows before within reach."""
+    df = spark.range(600).selectExpr("CASE WHEN id % 3 > 0 THEN 'a' WHEN id % 33 = 0 THEN NULL ELSE concat('b', id % 5) END AS k", "(id * 37) % 600 AS t", "id % 11 AS `_at`").repartition(6)
+    seen = []
+
+    def sums(f):
+        assert len(f) <= rows + before and f.k.nunique(dropna=False) == 1
+        return pd.DataFrame({"t": f.t, "s": f["_at"].rolling(before + 1, min_periods=1).sum().astype("int64")})
+
+    got = rows_of(chunked_map(df, ["k"], ["t"], sums, "t long, s long", rows, before))
+    groups = {}
+    for k, t, v in sorted(map(tuple, df.collect()), key=lambda r: r[1]):
+        own = groups.setdefault(k, [])
+        own.append(v)
+        seen.append((t, sum(own[-before - 1 :])))
+    assert got == sorted(seen, key=repr)
+    assert chunked_map(df.filter("1 = 0"), ["k"], ["t"], sums, "t long, s long", rows, before).count() == 0
+
+
+def test_chunked_map_refuses(spark):
+    with pytest.raises(ValueError):
+        chunked_map(spark.range(3), ["id"], [], lambda f: f, "id long", 5, 6)
+    with pytest.raises(Exception, match="how gave 0 rows"):
+        chunked_map(spark.range(3), [], ["id"], lambda f: f[:0], "id long").collect()
