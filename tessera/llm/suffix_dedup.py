@@ -11,12 +11,15 @@ owner with the difference-cover algorithm: sampled triples are sorted, the
 names are sorted recursively, the remaining suffixes are merged in, and
 adjacent prefixes are compared byte by byte.
 
-An owner with more text than `big` is not sorted in one task; its windows are
-compared by 128-bit hashes in a shuffle with partial counts.
+An owner with more text than `big` is not sorted in one task: its pieces are
+cut again by the least of other hashes of their short strings, up to LEVELS
+times, and sorted by these owners. What no cut divides is text of a short
+period, whose windows are few; these are counted as bytes.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -26,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .common import arrow_map, doc_text, partitions, written
+from .common import arrow_map, doc_text, forget, partitions, written
 from .kernel import U64
 
 #: Parameters: bytes of the short strings that own windows, most bytes of an owner that are sorted in one task,
 #: bytes that are sorted at once, and rows that a task holds before it sends them on.
 SHORT, BIG, SORT, FLUSH = 24, 4 << 20, 2 << 20, 400_000
+#: How often the pieces of big owners are cut again, and windows that are grouped at once where none of it helps.
+LEVELS, AT_ONCE = 3, 1 << 15
 #: Bytes of pieces that are reduced at once, and bytes of text to sort in a partition.
 PART_BYTES, SORT_BYTES = 12 << 20, 16 << 20
 
@@ -116,14 +121,16 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def cut(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Document, start, number of windows, owner, hash of each piece, and whether it may repeat inside itself."""
+def cut(data: np.ndarray, offsets: np.ndarray, length: int, level: int = 0) -> tuple[np.ndarray, ...]:
+    """Document, start, number of windows, owner, hash of each piece, and whether it may repeat inside itself. level: which hashes rank the short strings."""
     none = tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, U64, U64, bool))
     if len(data) < length:
         return none
     p = kernel.prefix_hashes(data)
     _, down = kernel.powers(len(p))
     short = kernel.mix((p[SHORT:] - p[:-SHORT]) * down[: len(p) - SHORT])
+    if level:
+        short = kernel.mix(short ^ kernel.mix(np.array([level], U64)))
     owner = least(short, length - SHORT + 1)
     n = len(owner)
     room = np.repeat(offsets[1:], np.diff(offsets))[:n] - np.arange(n)
@@ -284,23 +291,72 @@ def marked(texts: DataFrame, length: int) -> DataFrame:
     return texts.repartition(p, "owner").sortWithinPartitions("owner", "hash").mapInArrow(sort, "owner long, hash long, windows int, at long, n long")
 
 
-def counted(texts: DataFrame, length: int) -> DataFrame:
-    """The same for the pieces of big owners: windows are counted by two 64-bit hashes."""
+def counted(texts: DataFrame, length: int, used: list[DataFrame]) -> DataFrame:
+    """The same for pieces that no cut divides: windows are counted as bytes. texts: owner, hash, windows, at, piece.
 
-    def windows_of(batch):
-        owner, hashed, windows = (batch.column(k).to_numpy() for k in range(3))
-        for i, j, offsets, data in kernel.chunks(batch.column(3)):
-            n = windows[i:j].astype(np.int64)
-            row = np.repeat(np.arange(j - i), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            start = offsets[:-1][row] + at
-            p = kernel.prefix_hashes(data)
-            q = kernel.prefix_hashes(kernel.byte_tables()[0][data].view(np.uint8)[3::8])
-            yield kernel.span_hashes(p, start, start + length).view(np.int64), kernel.span_hashes(q, start, start + length).view(np.int64), owner[i:j][row], hashed[i:j][row], windows[i:j][row], at
+    A task sends a row for each distinct window of some AT_ONCE places of a
+    piece, so text of a short period is few rows.
+    """
 
-    rows = written(arrow_map(texts, windows_of, "w1 long, w2 long, owner long, hash long, windows int, at long"), "windows")
-    twice = rows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2")
-    return rows.join(twice, ["w1", "w2"]).select("owner", "hash", "windows", "at", F.lit(1).cast("long").alias("n"))
+    def windows_of(batch):
+        for owner, hashed, windows, base, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i in range(0, len(piece) - length + 1, AT_ONCE):
+                places: dict[bytes, list[int]] = {}
+                for k in range(i, min(i + AT_ONCE, len(piece) - length + 1)):
+                    places.setdefault(piece[k : k + length], []).append(base + k)
+                n = len(places)
+                yield list(places), [owner] * n, [hashed] * n, [windows] * n, list(places.values())
+
+    rows = written(arrow_map(texts.select("owner", "hash", "windows", "at", "piece"), windows_of, "window binary, owner long, hash long, windows int, places array<long>"), "windows")
+    used.append(rows)
+    twice = rows.groupBy("window").agg(F.sum(F.size("places")).alias("n")).filter("n > 1").select("window")
+    return rows.join(twice, "window").select("owner", "hash", "windows", F.explode("places").alias("at"), F.lit(1).cast("long").alias("n"))
+
+
+def cut_again(texts: DataFrame, length: int, level: int) -> DataFrame:
+    """The pieces that texts (owner, hash, windows, at, sub, piece) fall into by the hashes of this level, with their owners as sub."""
+
+    def pieces(batch):
+        *keys, at, sub = (batch.column(k).to_numpy() for k in range(5))
+        for i, j, offsets, data in kernel.chunks(batch.column(5)):
+            row, start, windows, owner, _, _ = cut(data, offsets, length, level)
+            raw = data.tobytes()
+            owner = kernel.mix(owner + kernel.mix(np.ascontiguousarray(sub[i + row]).view(U64)))
+            yield *(k[i + row] for k in keys), at[i + row] + start - offsets[row], owner.view(np.int64), [raw[a:b] for a, b in zip(start.tolist(), (start + windows + length - 1).tolist(), strict=True)]
+
+    columns = texts.select("owner", "hash", "windows", "at", "sub", "piece")
+    return written(arrow_map(columns, pieces, "owner long, hash long, windows int, at long, sub long, piece binary"), "subs")
+
+
+def divided(texts: DataFrame, length: int, big: int, used: list[DataFrame]) -> DataFrame:
+    """owner, hash, windows, at, n: runs of repeated windows in the pieces of big owners. texts: owner, hash, windows, piece.
+
+    Pieces of an owner share a short string and differ around it, so hashes
+    that rank other strings first divide them. Equal windows have equal
+    owners at each level, so a level's owners that are small enough are
+    sorted and done with. Equal pieces are told by their bytes, in a grouping
+    with partial counts, and sorted once. Tables that the result reads are added to used.
+    """
+    texts = texts.withColumn("at", F.lit(0).cast("long")).withColumn("sub", F.col("owner"))
+    runs: list[DataFrame] = []
+    for level in range(1, LEVELS + 1):
+        if texts.isEmpty():
+            break
+        subs = cut_again(texts, length, level)
+        distinct = written(subs.groupBy("sub", "piece").agg(F.count(F.lit(1)).alias("places")).withColumn("id", F.monotonically_increasing_id()), "distinct")
+        sizes = written(distinct.groupBy("sub").agg(F.sum(F.octet_length("piece")).alias("size")).filter(F.col("size") > big).select("sub"), "big")
+        used += [subs, distinct, sizes]
+        small = distinct.join(sizes, "sub", "left_anti")
+        windows = F.octet_length("piece") - (length - 1)
+        found = marked(small.select(F.col("sub").alias("owner"), F.col("id").alias("hash"), windows.alias("windows"), "piece"), length).select(F.col("hash").alias("id"), F.col("at").alias("a"), "n")
+        whole = small.filter("places > 1").select("id", F.lit(0).cast("long").alias("a"), windows.cast("long").alias("n"))
+        found = found.join(small.filter("places = 1").select("id"), "id", "left_semi").union(whole)
+        # a piece with runs goes to its places by its bytes
+        told = small.select("id", "sub", "piece").join(found, "id").drop("id")
+        runs.append(subs.join(told, ["sub", "piece"]).select("owner", "hash", "windows", (F.col("at") + F.col("a")).alias("at"), "n"))
+        texts = subs.join(sizes, "sub", "left_semi").select("owner", "hash", "windows", "at", "sub", "piece")
+    runs.append(counted(texts, length, used))
+    return functools.reduce(DataFrame.union, runs)
 
 
 def suffix_dedup(df: DataFrame, length: int = 200, big: int = BIG, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -333,12 +389,14 @@ def suffix_dedup(df: DataFrame, length: int = 200, big: int = BIG, id_col: str =
             yield [x["owner"] for x in some], [x["hash"] for x in some], [x["windows"] for x in some], [x["big"] for x in some], [raw[x["start"] : x["start"] + x["windows"] + length - 1] for x in some]
 
     cuts = written(arrow_map(readers, sliced, "owner long, hash long, windows int, big boolean, piece binary").dropDuplicates(["owner", "hash", "windows"]), "cuts")
-    runs = marked(cuts.filter("not big").drop("big"), length).union(counted(cuts.filter("big").drop("big"), length))
+    used = [copies, found, cuts]
+    runs = marked(cuts.filter("not big").drop("big"), length).union(divided(cuts.filter("big").drop("big"), length, big, used))
     some = found.filter("sort and not equal").join(runs, ["owner", "hash", "windows"]).select("k1", "k2", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + F.col("n") + length - 1).alias("b"))
     whole = found.filter("equal").select("k1", "k2", F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b"))
     single = copies.filter("copies = 1").select("k1", "k2")
     spans = some.union(whole).distinct().join(single, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
     spans = written(spans.withColumn("copied", F.lit(False)).union(copies.filter("copies > 1").select("k1", "k2", F.lit(None).cast(spans.schema["spans"].dataType), F.lit(True))), "spans")
+    forget(*used)
     rows = docs.join(spans.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "spans", "copied")
 
     def strip(batch):

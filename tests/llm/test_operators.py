@@ -306,6 +306,36 @@ def test_suffix_dedup(spark, docs, big):
     assert got == dict(enumerate(stripped(TEXTS)))
 
 
+@pytest.mark.parametrize("big", [1, 700, 4000, 30_000])
+def test_suffix_dedup_divides_big_owners(spark, big):
+    """A phrase of 24 bytes or more amid other words, passages of over 200 bytes that many documents share, and runs of one and three letters."""
+    r = np.random.default_rng(7)
+    word = lambda n: " ".join("".join(chr(97 + x) for x in r.integers(0, 26, 5)) for _ in range(n))
+    phrase, passage = " one phrase that stands in every text and owns much of it ", word(60)
+    texts = [word(int(r.integers(5, 60))) + phrase + word(int(r.integers(5, 60))) for _ in range(60)]
+    texts += [word(9) + phrase + passage + word(int(r.integers(5, 30))) for _ in range(12)] + ["a" * n for n in (199, 200, 201, 460, 461, 900)] + ["xyz" * 150, "yzx" * 90 + word(40), None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.suffix_dedup(df, big=big).collect()}
+    assert got == dict(enumerate(stripped(texts)))
+
+
+def test_pieces_cut_again_hold_every_window(spark):
+    """Each level cuts what the one before holds, and a phrase that owns all pieces owns few after a level or two."""
+    r = np.random.default_rng(3)
+    letters = lambda n: bytes(r.integers(97, 123, n).astype(np.uint8))
+    pieces = [letters(180) + b"a phrase of 24 bytes that owns" + letters(180) for _ in range(40)]
+    texts = spark.createDataFrame([(5, i, len(p) - 199, 0, 5, p) for i, p in enumerate(pieces)], "owner long, hash long, windows int, at long, sub long, piece binary")
+    for level in (1, 2):
+        texts = suffix_dedup.cut_again(texts, 200, level)
+        rows = texts.collect()
+        assert all(pieces[x.hash][x.at : x.at + len(x.piece)] == bytes(x.piece) for x in rows)
+        assert sorted((x.hash, x.at + k) for x in rows for k in range(len(x.piece) - 199)) == sorted((i, k) for i, p in enumerate(pieces) for k in range(len(p) - 199))
+    held = Counter()
+    for x in rows:
+        held[x.sub] += 1
+    assert max(held.values()) < len(pieces) and len(held) > 40
+
+
 def test_suffix_dedup_odd_tables(docs):
     assert suffix_dedup.suffix_dedup(docs).count() == docs.count()
     assert suffix_dedup.suffix_dedup(empty(docs)).count() == 0
