@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.tables import free
+from tessera.sources.tables import free, materialised
 
 from .joins import both
 from .ranks import running
@@ -39,15 +39,19 @@ def inequality_totals(left: DataFrame, right: DataFrame, by: Sequence[str], on:
         raise ValueError(f"left has columns named {', '.join(sorted(clash))}")
     by, names = list(by), list(totals)
     place, key = free(left, "_place"), [free(left, f"_key{i}") for i in range(len(by))]
-    own, upto, every, before = ([free(left, f"_{k}{i}") for i in range(2 * len(names))] for k in ("own", "upto", "every", "before"))
-    # of each total, what adds up and the number of rows that it is over: a sum over none is null
-    parts = [e for how, c in totals.values() for e in (getattr(F, how)(c), F.count(c))]
+    # of each total, the number of rows that it is over, as a sum over none is null, and what adds up
+    parts, at = [], {}
+    for n, (how, c) in totals.items():
+        at[n] = len(parts)
+        parts += [F.count(c)] if how == "count" else [F.count(c), F.sum(c)]
+    own, upto, every, before = ([free(left, f"_{k}{i}") for i in range(len(parts))] for k in ("own", "upto", "every", "before"))
     known = both(*[F.col(c).isNotNull() for c in [*key, place]])
     ours = left.select(*[F.col(c).alias(k) for c, k in zip(by, key, strict=True)], F.col(on[0]).alias(place)).filter(known).distinct()
     placed = [F.col(c).isNotNull() for c in [*by, on[1]]]
     theirs = right.filter(both(*placed)).groupBy(*[F.col(c).alias(k) for c, k in zip(by, key, strict=True)], F.col(on[1]).alias(place)).agg(*[e.alias(o) for e, o in zip(parts, own, strict=True)])
-    zero = {o: F.coalesce(F.col(o), F.lit(0)).alias(o) for o in own}
-    places = theirs.select(*key, place, *own).unionByName(ours, allowMissingColumns=True).groupBy(*key, place).agg(*[F.sum(o).alias(o) for o in own]).select(*key, place, *zero.values())
+    zero = [F.coalesce(F.col(o), F.lit(0)).alias(o) for o in own]
+    places = theirs.select(*key, place, *own).unionByName(ours, allowMissingColumns=True).groupBy(*key, place).agg(*[F.sum(o).alias(o) for o in own]).select(*key, place, *zero)
+    places = materialised(places, "places")  # read for the sample of the order, for the order and for the keys
     summed = running(places, [*key, place], {u: ("sum", o) for u, o in zip(upto, own, strict=True)})
     keys = places.groupBy(*key).agg(*[F.sum(o).alias(e) for e, o in zip(every, own, strict=True)])
     if key:
@@ -61,7 +65,7 @@ def inequality_totals(left: DataFrame, right: DataFrame, by: Sequence[str], on:
         inside = F.col(upto[i]) - F.col(before[i])
         return {"<=": inside, "<": inside - F.col(own[i]), ">": F.col(every[i]) - inside, ">=": F.col(every[i]) - inside + F.col(own[i])}[op]
 
-    given = [(value(2 * i) if how == "count" else F.when(value(2 * i + 1) > 0, value(2 * i))).alias(n) for i, (n, (how, _)) in enumerate(totals.items())]
+    given = [(value(at[n]) if how == "count" else F.when(value(at[n]) > 0, value(at[n] + 1))).alias(n) for n, (how, _) in totals.items()]
     given = summed.select(*key, place, *given)
     same = both(*[left[c] == given[k] for c, k in zip([*by, on[0]], [*key, place], strict=True)])
     out = left.join(given, same, "left").select(*[left[c] for c in left.columns], *[given[n] for n in names])
