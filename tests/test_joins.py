@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import asof_join, hot_keys, interval_join, overlap_join, range_join, salted_join, skew_join
+from tessera.operators import asof_join, hot_keys, interval_join, ordered_pairs, overlap_join, range_join, salted_join, skew_join
 
 
 def rows_of(df):
@@ -159,3 +159,24 @@ def test_skew_join_copies_hot_keys_alone(spark, skewed):
 def test_skew_join_refuses_outer(skewed):
     with pytest.raises(ValueError):
         skew_join(*skewed, ["k"], "full")
+
+
+@pytest.mark.parametrize("size", [7, 2048])
+def test_ordered_pairs_are_those_of_a_plain_join(spark, monkeypatch, size):
+    """Two thirds of the rows are of one key, some tie, some are null."""
+    monkeypatch.setattr("tessera.operators.joins.SLICE", size)
+    df = spark.range(300).selectExpr("CASE WHEN id % 3 > 0 THEN 1 WHEN id % 33 = 0 THEN NULL ELSE id % 5 END AS k", "CASE WHEN id % 29 <> 0 THEN id % 90 END AS v", "id AS `_slice`").repartition(6)
+    plain = df.alias("x").join(df.alias("y"), F.expr("x.k = y.k and x.v < y.v")).selectExpr("x.k", "x.v", "x._slice", "y.v", "y._slice")
+    got = ordered_pairs(df, ["k"], "v")
+    assert got.columns == ["k", "a_v", "a__slice", "b_v", "b__slice"]
+    assert rows_of(got) == rows_of(plain)
+    assert ordered_pairs(df.filter("1 = 0"), ["k"], "v").count() == 0
+
+
+def test_self_join_spreads_over_tasks(spark):
+    """Its pairs come from more than the tasks that read the table."""
+    from tessera.plans import catalog
+
+    for name in ("join_self", "join_theta"):
+        parts = [r["count"] for r in catalog.QUERIES[name](spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(parts) > 1 and max(parts) < 0.8 * sum(parts)
