@@ -201,6 +201,8 @@ def source_commit_log(spark, base):
 #: Runs in the order of time, and ones of which the last brings rows that are late.
 IN_ORDER = ["ts < timestamp_ntz '2024-01-10'", "ts >= timestamp_ntz '2024-01-10' AND ts < timestamp_ntz '2024-01-20'", "ts >= timestamp_ntz '2024-01-20'"]
 LATE = ["ts < timestamp_ntz '2024-01-10' AND event_id % 50 <> 0", IN_ORDER[1], f"{IN_ORDER[2]} OR ts < timestamp_ntz '2024-01-10' AND event_id % 50 = 0"]
+#: The same late rows, with the run after that of their time.
+LATE_AFTER_ONE = [LATE[0], "ts < timestamp_ntz '2024-01-20' AND (ts >= timestamp_ntz '2024-01-10' OR event_id % 50 = 0)", IN_ORDER[2]]
 
 
 @paired("""SELECT s.user_id, s.event_id, s.ts FROM events s, (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events WHERE event_type IN ('signup', 'click')) m
