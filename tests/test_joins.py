@@ -180,3 +180,16 @@ def test_self_join_spreads_over_tasks(spark):
     for name in ("join_self", "join_theta"):
         parts = [r["count"] for r in catalog.QUERIES[name](spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id()).count().collect()]
         assert len(parts) > 1 and max(parts) < 0.8 * sum(parts)
+
+
+def test_range_join_cuts_bins_into_pieces(spark, monkeypatch):
+    """All points are in one bin of all ranges; no task holds most pairs, with slices of any size."""
+    points = spark.range(0, 500, 1, 1).selectExpr("id AS i", "id % 7 AS p")
+    cut = spark.range(90).selectExpr("id AS r", "-8L AS low", "id % 5 AS high")
+    want = rows_of(points.crossJoin(cut).filter("p BETWEEN low AND high").select("i", "r"))
+    for size in (16, 2048):
+        monkeypatch.setattr("tessera.operators.joins.SLICE", size)
+        out = range_join(points, cut, "p", "low", "high").select("i", "r")
+        assert rows_of(out) == want
+        parts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert size > 16 or max(parts) < 0.8 * sum(parts)
