@@ -2,7 +2,8 @@
 
 HyperLogLog and KLL states are a few kilobytes whatever they have seen; their
 errors are bounded as distinct_error() and RANK_ERROR say. Bitmaps count
-whole numbers exactly; they are one row for each 32,768 values that occur.
+whole numbers exactly; they are a row with a word of 64 bits for each 64
+values of which one occurs, so never more rows than values.
 """
 
 from __future__ import annotations
@@ -49,19 +50,22 @@ def rank_of(state: str | Column, value: Column) -> Column:
 
 
 def bitmaps(df: DataFrame, keys: Sequence[str], column: str, bucket: str = "bucket", bits: str = "bits") -> DataFrame:
-    """keys, bucket and bits: the distinct whole numbers of a column, 32,768 to a bitmap. Nulls are passed over.
+    """keys, bucket and bits: the distinct whole numbers of a column, 64 to a word. Nulls are passed over.
 
     A hot key spreads over its buckets, and equal values meet in the map-side
-    bitmap of a task, so what is shuffled does not grow with repeats.
+    word of a task, so what is shuffled does not grow with repeats. Where
+    values are sparse a word costs about what a value does, and a task's
+    memory goes by its rows.
     """
     x = F.col(column).cast("long")
-    return df.filter(x.isNotNull()).groupBy(*keys, F.bitmap_bucket_number(x).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(x)).alias(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))
+    return df.filter(x.isNotNull()).groupBy(*keys, F.shiftright(x, 6).alias(bucket)).agg(F.bit_or(bit).alias(bits))
 
 
 def merged_bitmaps(rows: DataFrame, keys: Sequence[str], bucket: str = "bucket", bits: str = "bits") -> DataFrame:
-    return rows.groupBy(*keys, bucket).agg(F.bitmap_or_agg(bits).alias(bits))
+    return rows.groupBy(*keys, bucket).agg(F.bit_or(bits).alias(bits))
 
 
 def bitmap_counts(rows: DataFrame, keys: Sequence[str], name: str = "n", bits: str = "bits") -> DataFrame:
     """The exact number of distinct values of each key; rows must be merged for these keys."""
-    return rows.groupBy(*keys).agg(F.sum(F.bitmap_count(bits)).cast("long").alias(name))
+    return rows.groupBy(*keys).agg(F.sum(F.bit_count(bits)).cast("long").alias(name))

@@ -224,3 +224,12 @@ def test_chunked_map_refuses(spark):
         chunked_map(spark.range(3), ["id"], [], lambda f: f, "id long", 5, 6)
     with pytest.raises(Exception, match="how gave 0 rows"):
         chunked_map(spark.range(3), [], ["id"], lambda f: f[:0], "id long").collect()
+
+
+def test_bitmaps_of_sparse_values(spark):
+    """States of values far apart take bytes a value, not kilobytes; values may be negative, null or at the ends of a long."""
+    df = spark.range(4000).selectExpr("id % 3 AS k", "id % 50 AS day", "CASE WHEN id % 90 = 1 THEN NULL WHEN id % 90 = 2 THEN 9223372036854775807 WHEN id % 90 = 3 THEN -9223372036854775808 ELSE (id % 1500 - 700) * 100003 END AS v")
+    days = sketches.bitmaps(df, ["k", "day"], "v")
+    assert days.select(F.max(F.octet_length(F.col("bits").cast("string")))).first()[0] <= 20 and days.count() <= 4000
+    exact = sketches.bitmap_counts(sketches.merged_bitmaps(days, ["k"]), ["k"])
+    assert rows_of(exact) == rows_of(df.groupBy("k").agg(F.countDistinct("v")))
