@@ -233,3 +233,12 @@ def test_bitmaps_of_sparse_values(spark):
     assert days.select(F.max(F.octet_length(F.col("bits").cast("string")))).first()[0] <= 20 and days.count() <= 4000
     exact = sketches.bitmap_counts(sketches.merged_bitmaps(days, ["k"]), ["k"])
     assert rows_of(exact) == rows_of(df.groupBy("k").agg(F.countDistinct("v")))
+
+
+@pytest.mark.parametrize("name", ["sketch_bitmap_rollup", "sketch_distinct_rollup"])
+def test_rollups_keep_no_large_buffers(spark, name):
+    """Exact counts by day come from hash aggregates of words, not from sorted buffers of kilobytes."""
+    from tessera.plans import catalog
+
+    plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" not in plan and "bit_or" in plan
