@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -14,6 +13,16 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.shipping import ship
 from tessera.sources import deleted, scratch, stream
+from tessera.sources.tables import free
+
+#: Groups that the keys of custom state are dealt to; a state holds its group's keys as arrays, so calls into Python and into the store go by groups and micro-batches, not by keys. It must stay as it is for the life of a stream.
+GROUPS = 1024
+
+
+def dealt(df: DataFrame, key: str, *others: str) -> tuple[DataFrame, str, str]:
+    """The key (0 for null), the other columns, whether the key was null, and its group; with the names of the last two, as names that begin with _ do not reach state functions."""
+    none, group = free(df, "null_key"), free(df, "key_group")
+    return df.select(F.coalesce(key, F.lit(0)).cast("long").alias(key), *others, F.col(key).isNull().alias(none), F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int").alias(group)), none, group
 
 
 def event_time(df: DataFrame, ts: str = "ts", late: str = "10 minutes") -> DataFrame:
@@ -119,54 +128,62 @@ def interval_pairs_or_none(left: DataFrame, right: DataFrame, key: str, left_ts:
 class NoFollowUp(StatefulProcessor):
     """Event-time timers: first events that no second event of the key follows within some time.
 
-    State of a key: first events that still wait, and times of second events
-    that first events which come late may still need. A timer at the end of a
-    first event's time tells that nothing came; one at the time of a second
-    event forgets it, as rows before the watermark are dropped. So state is
-    bounded by what happens within the time and the watermark's delay.
+    State of a group of keys: first events that still wait, and times of
+    second events that first events which come late may still need. Its one
+    timer is at the earliest end of a first event's time or time of a second
+    event; when it fires, the first events whose time the watermark has passed
+    are told and the second ones behind it are forgotten, as rows before the
+    watermark are dropped. So state is bounded by what happens within the time
+    and the watermark's delay, and a group is called once a micro-batch.
     """
 
-    def __init__(self, key: str, kind: str, first: str, second: str, ts: str, row_id: str, within_ms: int):
-        self.key, self.kind, self.first, self.second, self.ts, self.row_id, self.within_ms = key, kind, first, second, ts, row_id, within_ms
+    def __init__(self, key: str, kind: str, first: str, second: str, ts: str, row_id: str, within_ms: int, none: str):
+        self.key, self.kind, self.first, self.second, self.ts, self.row_id, self.span, self.none = key, kind, first, second, ts, row_id, within_ms * 1000, none
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "id bigint", "at bigint")
-        self.seconds = handle.getMapState("seconds", "at bigint", "n int")
+        self.held = handle.getValueState("held", "first_keys array<bigint>, first_none array<boolean>, first_ids array<bigint>, first_at array<bigint>, second_keys array<bigint>, second_at array<bigint>, timer bigint")
+
+    def load(self) -> tuple[pd.DataFrame, pd.DataFrame, int | None]:
+        keys, none, ids, at, second_keys, second_at, timer = self.held.get() if self.held.exists() else ([], [], [], [], [], [], None)
+        whole = lambda v: pd.Series(v, dtype="int64")
+        return pd.DataFrame({"key": whole(keys), "none": pd.Series(none, dtype="bool"), "id": whole(ids), "at": whole(at)}), pd.DataFrame({"key": whole(second_keys), "at": whole(second_at)}), timer
+
+    def store(self, firsts: pd.DataFrame, seconds: pd.DataFrame, before: int | None) -> None:
+        """What is left, with a timer at the earliest time that something of it is due."""
+        ends = [int(at.min()) // 1000 + 1 for at in (firsts["at"] + self.span, seconds["at"]) if len(at)]
+        timer = min(ends, default=None)
+        if timer != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if timer is not None:
+                self.handle.registerTimer(timer)
+        if timer is None:
+            self.held.clear()
+        else:
+            self.held.update((*[firsts[c].tolist() for c in ("key", "none", "id", "at")], seconds["key"].tolist(), seconds["at"].tolist(), timer))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        firsts, seconds = {}, set()
+        waiting, known, timer = self.load()
+        firsts, seconds = [waiting], [known]
         for b in rows:
-            at = b[self.ts].to_numpy("datetime64[us]").astype("int64")
-            for t, kind, i in zip(at.tolist(), b[self.kind], b[self.row_id].tolist(), strict=True):
-                if kind == self.first:
-                    firsts[i] = t
-                elif kind == self.second:
-                    seconds.add(t)
-        span = self.within_ms * 1000
-        known = sorted(seconds | {k[0] for k in self.seconds.keys()})
-        followed = lambda t: (j := bisect.bisect_right(known, t)) < len(known) and known[j] <= t + span
-        for (i,), (t,) in list(self.waiting.iterator()):
-            if followed(t):
-                self.waiting.removeKey((i,))
-        for i, t in firsts.items():
-            if not followed(t):
-                self.waiting.updateValue((i,), (t,))
-                self.handle.registerTimer((t + span) // 1000 + 1)
-        for t in seconds:
-            self.seconds.updateValue((t,), (1,))
-            self.handle.registerTimer(t // 1000 + 1)
+            own = pd.DataFrame({"key": b[self.key].to_numpy("int64"), "none": b[self.none].to_numpy("bool"), "id": b[self.row_id].to_numpy("int64"), "at": b[self.ts].to_numpy("datetime64[us]").astype("int64")})
+            firsts.append(own[(b[self.kind] == self.first).to_numpy()])
+            seconds.append(own.loc[(b[self.kind] == self.second).to_numpy() & ~own["none"], ["key", "at"]])
+        first = pd.concat(firsts, ignore_index=True).drop_duplicates(["key", "none", "id"], keep="last").sort_values("at", kind="stable")
+        second = pd.concat(seconds, ignore_index=True).drop_duplicates().sort_values("at", kind="stable")
+        after = pd.merge_asof(first, second.assign(none=False, next=second["at"]), on="at", by=["none", "key"], direction="forward", allow_exact_matches=False, tolerance=self.span)
+        self.store(first[after["next"].isna().to_numpy()], second, timer)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        done = [(i, t) for (i,), (t,) in list(self.waiting.iterator()) if t + self.within_ms * 1000 < now]
-        for i, _ in done:
-            self.waiting.removeKey((i,))
-        for (t,) in [k for k in self.seconds.keys() if k[0] < now]:
-            self.seconds.removeKey((t,))
-        if done:
-            yield pd.DataFrame({self.key: [key[0]] * len(done), self.row_id: [i for i, _ in done], self.ts: pd.to_datetime([t for _, t in done], unit="us", utc=True)})
+        firsts, seconds, timer = self.load()
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
+        told = firsts[firsts["at"] + self.span < now]
+        # the timer that fires is deleted by the engine
+        self.store(firsts[firsts["at"] + self.span >= now], seconds[seconds["at"] >= now], None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
+        if len(told):
+            yield pd.DataFrame({self.key: told["key"].astype("Int64").mask(told["none"]), self.row_id: told["id"], self.ts: pd.to_datetime(told["at"], unit="us", utc=True)})
 
     def close(self) -> None:
         pass
@@ -180,8 +197,8 @@ def not_followed(df: DataFrame, first: str, second: str, within: str, key: str =
     """
     ship(df.sparkSession)
     micros = df.sparkSession.sql(f"SELECT timestampdiff(MICROSECOND, timestamp_ntz'2001-01-01', timestamp_ntz'2001-01-01' + INTERVAL {within})").first()[0]
-    rows = df.filter(F.col(kind).isin(first, second)).select(key, kind, ts, row_id)
-    return rows.groupBy(key).transformWithStateInPandas(NoFollowUp(key, kind, first, second, ts, row_id, micros // 1000), f"{key} long, {row_id} long, {ts} timestamp", "Append", "EventTime")
+    rows, none, group = dealt(df.filter(F.col(kind).isin(first, second)), key, kind, ts, row_id)
+    return rows.groupBy(group).transformWithStateInPandas(NoFollowUp(key, kind, first, second, ts, row_id, micros // 1000, none), f"{key} long, {row_id} long, {ts} timestamp", "Append", "EventTime")
 
 
 class FirstSeen(StatefulProcessor):

@@ -40,3 +40,21 @@ def test_deduplicated_forgets(spark):
     landing = Landing(df)
     out = run_to_table(deduplicated(landing.stream, ["k"]), "append", landings=[landing], arrivals=["ts <= timestamp_ntz '2024-01-01 01:00:00'", "ts > timestamp_ntz '2024-01-01 01:00:00'"])
     assert rows_of(out.groupBy("k").agg(F.count(F.lit(1)))) == [(1, 2), (2, 1), (3, 1)]
+
+
+@pytest.mark.parametrize("name", ["not_followed"])
+def test_state_serves_many_keys(spark, monkeypatch, tmp_path, name):
+    """400 keys, one of them null, in a few states: results are those of a plain aggregate."""
+    from tessera.streaming import events as ev
+
+    monkeypatch.setattr(ev, "GROUPS", 5, raising=False)
+    df = spark.range(2000).selectExpr("CASE WHEN id % 400 > 0 THEN id % 400 END AS user_id", "id AS event_id", "CASE WHEN id % 3 = 0 THEN 'signup' WHEN id % 3 = 1 THEN 'click' ELSE 'view' END AS event_type", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id as int)) AS ts", "id / 4 AS value")
+    landing, got = Landing(df), []
+    landing.land()
+    out, mode = {"not_followed": lambda: (ev.not_followed(landing.stream, "signup", "click", "1 hour"), "append"), "kind_counts": lambda: (ev.kind_counts(landing.stream), "update"), "running_totals": lambda: (ev.running_totals(landing.stream), "update")}[name]()
+    with ev.rocksdb_state(spark):
+        q = out.writeStream.foreachBatch(lambda b, _: got.extend(tuple(r)[:2] if name == "not_followed" else tuple(r) for r in b.collect())).outputMode(mode).option("checkpointLocation", f"file://{tmp_path}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+    assert max(s.numRowsTotal for p in q.recentProgress for s in p.stateOperators) <= 5 * (3 if name == "not_followed" else 1)
+    want = {"kind_counts": df.groupBy("user_id", "event_type").count(), "running_totals": df.groupBy("user_id").agg(F.count(F.lit(1)), F.sum("value")), "not_followed": df.filter("event_type = 'signup' AND event_id < 1929").select("user_id", "event_id")}[name]
+    assert sorted(got, key=repr) == rows_of(want)
