@@ -61,24 +61,23 @@ def running_totals(df: DataFrame, key: str = "user_id", value: str = "value") ->
 
 
 class KindCounts(StatefulProcessor):
-    """Map state: rows so far of each kind of a key; those of the kinds in a micro-batch are sent on."""
+    """Value state of a group of keys: rows so far of each key and kind; those of the kinds in a micro-batch are sent on."""
 
-    def __init__(self, key: str, kind: str):
-        self.key, self.kind = key, kind
+    def __init__(self, key: str, kind: str, none: str):
+        self.key, self.kind, self.none = key, kind, none
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "kind string", "n bigint")
+        self.counts = handle.getValueState("counts", "keys array<bigint>, kinds array<string>, n array<bigint>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.Series(dtype="int64")
+        held = {(k, kind): n for k, kind, n in zip(*self.counts.get(), strict=True)} if self.counts.exists() else {}
+        new = {}
         for b in rows:
-            new = new.add(b[self.kind].value_counts(), fill_value=0)
-        out = []
-        for kind, n in new.items():
-            n = int(n) + (self.counts.getValue((kind,))[0] if self.counts.containsKey((kind,)) else 0)
-            self.counts.updateValue((kind,), (n,))
-            out.append((key[0], kind, n))
-        yield pd.DataFrame(out, columns=[self.key, self.kind, "n"])
+            for (is_none, k, kind), n in b.groupby([self.none, self.key, self.kind], dropna=False).size().items():
+                at = (None if is_none else int(k), kind if isinstance(kind, str) else None)
+                new[at] = held[at] = held.get(at, 0) + int(n)
+        self.counts.update(([k for k, _ in held], [kind for _, kind in held], list(held.values())))
+        yield pd.DataFrame({self.key: pd.Series([k for k, _ in new], dtype="Int64"), self.kind: [kind for _, kind in new], "n": list(new.values())})
 
     def close(self) -> None:
         pass
@@ -87,7 +86,8 @@ class KindCounts(StatefulProcessor):
 def kind_counts(df: DataFrame, key: str = "user_id", kind: str = "event_type") -> DataFrame:
     """transformWithState: the count so far of each key and kind; runs within rocksdb_state."""
     ship(df.sparkSession)
-    return df.groupBy(key).transformWithStateInPandas(KindCounts(key, kind), f"{key} long, {kind} string, n long", "Update", "None")
+    rows, none, group = dealt(df, key, kind)
+    return rows.groupBy(group).transformWithStateInPandas(KindCounts(key, kind, none), f"{key} long, {kind} string, n long", "Update", "None")
 
 
 @contextmanager
