@@ -49,15 +49,21 @@ def deduplicated(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def running_totals(df: DataFrame, key: str = "user_id", value: str = "value") -> DataFrame:
     """Custom state: rows and total so far of each key, sent on at each trigger."""
+    rows, none, group = dealt(df, key, value)
 
-    def add(keys, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, total = state.get if state.exists else (0, 0.0)
+    def add(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = {k: (n, total) for k, n, total in zip(*state.get, strict=True)} if state.exists else {}
+        new = {}
         for b in batches:
-            n, total = n + len(b), total + float(b[value].sum())
-        state.update((n, total))
-        yield pd.DataFrame({key: [keys[0]], "n": [n], "total": [total]})
-
-    return df.groupBy(key).applyInPandasWithState(add, f"{key} long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
+            sums = b.groupby([none, key])[value].agg(["size", "sum"])
+            for (is_none, k), n, total in sums.itertuples():
+                k = None if is_none else int(k)
+                before = held.get(k, (0, 0.0))
+                new[k] = held[k] = (before[0] + int(n), before[1] + float(total))
+        state.update((list(held), [n for n, _ in held.values()], [t for _, t in held.values()]))
+        yield pd.DataFrame({key: pd.Series(list(new), dtype="Int64"), "n": [n for n, _ in new.values()], "total": [t for _, t in new.values()]})
+
+    return rows.groupBy(group).applyInPandasWithState(add, f"{key} long, n long, total double", "keys array<long>, n array<long>, total array<double>", "update", GroupStateTimeout.NoTimeout)
 
 
 class KindCounts(StatefulProcessor):

@@ -42,7 +42,7 @@ def test_deduplicated_forgets(spark):
     assert rows_of(out.groupBy("k").agg(F.count(F.lit(1)))) == [(1, 2), (2, 1), (3, 1)]
 
 
-@pytest.mark.parametrize("name", ["not_followed", "kind_counts"])
+@pytest.mark.parametrize("name", ["not_followed", "kind_counts", "running_totals"])
 def test_state_serves_many_keys(spark, monkeypatch, tmp_path, name):
     """400 keys, one of them null, in a few states: results are those of a plain aggregate."""
     from tessera.streaming import events as ev
