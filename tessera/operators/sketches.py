@@ -13,10 +13,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.tables import free
+
 #: Parameters: lg2 of the registers of a HyperLogLog state, k of a KLL state.
 LG_REGISTERS, KLL_K = 12, 400
 #: Share of rows by which the rank of a KLL quantile of k = 400 is off in no more than 1 of 100 cases, and no more after merges.
 RANK_ERROR = 0.01
+#: Words of 64 bits that a task keeps in memory, and rows that are dealt to one where there are more words, about.
+TASK_WORDS = 1 << 19
+#: Salts for each task that rows are dealt to; a word is summed up by salts, so more rows of it than these don't travel on.
+SALTS = 16
 
 
 def distinct_error(deviations: float = 3.0) -> float:
@@ -52,14 +58,23 @@ def rank_of(state: str | Column, value: Column) -> Column:
 def bitmaps(df: DataFrame, keys: Sequence[str], column: str, bucket: str = "bucket", bits: str = "bits") -> DataFrame:
     """keys, bucket and bits: the distinct whole numbers of a column, 64 to a word. Nulls are passed over.
 
-    A hot key spreads over its buckets, and equal values meet in the map-side
-    word of a task, so what is shuffled does not grow with repeats. Where
-    values are sparse a word costs about what a value does, and a task's
-    memory goes by its rows.
+    A hot key spreads over its buckets. Words that fit into a task's memory
+    are summed up where the rows are read, so what is shuffled does not grow
+    with repeats. Where there are more, as of sparse values, of which each has
+    a word, rows are first dealt evenly over a number of tasks that goes by
+    the rows, whatever the size of the files' splits, and summed up there; what
+    is left is dealt by words over as many. Results don't depend on which.
     """
     x = F.col(column).cast("long")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))
-    return df.filter(x.isNotNull()).groupBy(*keys, F.shiftright(x, 6).alias(bucket)).agg(F.bit_or(bit).alias(bits))
+    words = df.filter(x.isNotNull()).select(*keys, F.shiftright(x, 6).alias(bucket), bit.alias(bits))
+    n, distinct = words.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*keys, bucket))).first()
+    if distinct > TASK_WORDS:
+        tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_WORDS))
+        salt = free(words, "_salt")
+        dealt = words.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS * tasks)).cast("int")).repartition(tasks, salt)
+        words = dealt.groupBy(*keys, bucket, salt).agg(F.bit_or(bits).alias(bits)).repartition(tasks, *keys, bucket)
+    return words.groupBy(*keys, bucket).agg(F.bit_or(bits).alias(bits))
 
 
 def merged_bitmaps(rows: DataFrame, keys: Sequence[str], bucket: str = "bucket", bits: str = "bits") -> DataFrame:

@@ -133,7 +133,7 @@ def sketch_distinct_rollup(spark, base):
     rows = load(spark, base, "lineitem").withColumn("day", F.to_date("l_shipdate"))
     days = sketches.states(rows, ["l_returnflag", "day"], distinct={"parts": "l_partkey"})
     whole = sketches.merged(days, ["l_returnflag"], distinct=["parts"])
-    exact = sketches.bitmap_counts(sketches.merged_bitmaps(sketches.bitmaps(rows, ["l_returnflag", "day"], "l_partkey"), ["l_returnflag"]), ["l_returnflag"], "exact")
+    exact = sketches.bitmap_counts(sketches.bitmaps(rows, ["l_returnflag"], "l_partkey"), ["l_returnflag"], "exact")
     n = days.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("days"))
     near = F.abs(sketches.distinct_of("parts") - F.col("exact")) <= F.col("exact") * sketches.distinct_error() + 1
     return whole.join(exact, "l_returnflag").join(n, "l_returnflag").select("l_returnflag", "days", near.alias("within_bound"))

@@ -242,3 +242,23 @@ def test_rollups_keep_no_large_buffers(spark, name):
 
     plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "bitmap_construct_agg" not in plan and "bit_or" in plan
+
+
+def test_bitmaps_deal_words_over_tasks_by_rows(spark, monkeypatch):
+    """No task holds most words, however few splits are read; a third of the rows are of one word, some are null."""
+    monkeypatch.setattr(sketches, "TASK_WORDS", 500, raising=False)
+    df = spark.range(0, 6000, 1, 1).selectExpr("id % 2 AS `_salt`", "id % 50 AS day", "CASE WHEN id % 3 = 0 THEN id % 60 WHEN id % 90 = 1 THEN NULL ELSE (id % 2100 - 700) * 100003 END AS v")
+    days = sketches.bitmaps(df, ["_salt", "day"], "v")
+    parts = [r["count"] for r in days.groupBy(F.spark_partition_id()).count().collect()]
+    assert days.count() == days.select("_salt", "day", "bucket").distinct().count() == sum(parts) and max(parts) < sum(parts) / 4
+    exact = sketches.bitmap_counts(sketches.merged_bitmaps(days, ["_salt"]), ["_salt"])
+    assert rows_of(exact) == rows_of(df.groupBy("_salt").agg(F.countDistinct("v")))
+    assert sketches.bitmaps(df.filter("1 = 0"), ["_salt"], "v").count() == 0
+
+
+def test_exact_counts_of_flags_form_no_words_by_day(spark):
+    from tessera.plans import catalog
+
+    plan = catalog.QUERIES["sketch_distinct_rollup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    words = [line for line in plan.splitlines() if "bit_or(" in line]
+    assert words and not any("day#" in line for line in words)
