@@ -193,3 +193,15 @@ def test_range_join_cuts_bins_into_pieces(spark, monkeypatch):
         assert rows_of(out) == want
         parts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
         assert size > 16 or max(parts) < 0.8 * sum(parts)
+
+
+def test_salted_join_deals_rows_over_tasks(spark, monkeypatch):
+    """The small side's copies are not broadcast, and the number of tasks goes by the rows, one split or not."""
+    monkeypatch.setattr("tessera.operators.joins.TASK_ROWS", 500)
+    big, small = spark.range(0, 6000, 1, 1).selectExpr("id % 700 AS k", "id AS x"), spark.range(0, 600, 1, 1).selectExpr("id AS k", "id * 10 AS v")
+    for how in ("inner", "left"):
+        out = salted_join(big, small, ["k"], 4, how)
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(out.select("k", "x", "v")) == rows_of(big.join(small, ["k"], how).select("k", "x", "v"))
+        parts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(parts) < sum(parts) / 6
