@@ -173,6 +173,20 @@ def test_ordered_pairs_are_those_of_a_plain_join(spark, monkeypatch, size):
     assert ordered_pairs(df.filter("1 = 0"), ["k"], "v").count() == 0
 
 
+def test_ordered_pairs_come_from_lists(spark, monkeypatch):
+    """The join meets rows with whole lists and the pairs are formed after it, in more tasks than one for TASK_PAIRS of them; columns may be of types without an order."""
+    monkeypatch.setattr("tessera.operators.joins.SLICE", 16)
+    monkeypatch.setattr("tessera.operators.joins.TASK_PAIRS", 10_000)
+    df = spark.range(0, 400, 1, 1).selectExpr("id % 2 AS k", "id AS v", "map(id, 'x') AS m", "CASE WHEN id % 3 > 0 THEN struct(id AS i) END AS x")
+    out = ordered_pairs(df, ["k"], "v")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan.split("Join")[0]
+    want = df.alias("x").join(df.alias("y"), F.expr("x.k = y.k and x.v < y.v")).selectExpr("x.k", "x.v", "x.m", "x.x", "y.v", "y.m", "y.x")
+    assert rows_of(out) == rows_of(want)
+    parts = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(parts) < 0.2 * sum(parts)
+
+
 def test_self_join_spreads_over_tasks(spark):
     """Its pairs come from more than the tasks that read the table."""
     from tessera.plans import catalog
